@@ -2,40 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from pathlib import Path
-
 import pytest
 
 import __spark_entry__ as entry
 from colloquy import queries as core
-
-
-def plain(v):
-    if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
-    if isinstance(v, list):
-        return tuple(map(plain, v))
-    return v
-
-
-def compare(spark, folder, name, registry):
-    import duckdb
-
-    q, sql = registry[name]
-    df = q(spark, folder)
-    cols = sorted(df.columns)
-    got = sorted((tuple(map(plain, r)) for r in df.select(*cols).collect()), key=repr)
-    if sql is None:
-        return
-    con = duckdb.connect()
-    for p in Path(folder).glob("*.parquet"):
-        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
-    cur = con.execute(sql)
-    names = [d[0] for d in cur.description]
-    assert sorted(names) == cols
-    at = [names.index(c) for c in cols]
-    assert got == sorted((tuple(plain(r[i]) for i in at) for r in cur.fetchall()), key=repr)
+from tests_compare import compare
 
 
 @pytest.mark.parametrize("name", sorted(core.REGISTRY))
