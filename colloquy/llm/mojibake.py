@@ -1,6 +1,6 @@
 """Problem 8: text decoded with a wrong encoding: learned from near-twins, applied to every document.
 
-1. Inventory. Every document without a suspicious byte pattern counts its different characters (document frequencies).
+1. Inventory. Every document counts its different characters outside stretches that read as a byte pattern (document frequencies).
 2. Twins. Lines are stripped of their non-ASCII characters; what is left, with the byte length of each stretch left out, is the
    key on which garbled lines meet clean ones (a garbled stretch has one character a byte, a clean one is UTF-8). Lines too
    poor in such features are not used. Both sides are made distinct first, so copies never multiply.
@@ -9,14 +9,15 @@
    Pairs of neighbouring letters of the 8-bit alphabets are counted as well (at most the square of some 900 letters).
 4. Application. In every document, whole texts: each stretch of non-ASCII characters around a suspicious pattern is turned back
    by each encoding, up to three layers deep, and the most plausible result is taken. It must explain the whole stretch, and its
-   characters must be known from clean text. Short stretches need a learned encoding or one in `assume`; long ones speak for
-   themselves. Double-byte encodings and swapped UTF-16 lose or swallow ASCII characters, so no stripped twin exists for them;
+   characters must be known from clean text. Short stretches need an encoding that is learned, in `ASSUME` or proven by
+   long stretches, which speak for themselves. Double-byte encodings and swapped UTF-16 lose or swallow ASCII characters, so no stripped twin exists for them;
    they are recognised by their bytes alone, by the same rules. Lines whose letter pairs are unusual are read as one 8-bit
    encoding taken for another, and turned back if that makes their pairs usual ones. Undecodable bytes (U+FFFD) match any byte and leave U+FFFD.
 
 Defined results: null, empty and ASCII texts are not garbled; repeated rows are judged alike; a text with nothing but lost
 characters (U+FFFD) is reported, unrestored; empty tables give no rows. Only the inventory (at most one row a Unicode character
-or pair of 8-bit letters) and the support (one row an encoding) reach the driver.
+or pair of 8-bit letters) and the support (one row an encoding) reach
+the driver.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ class Judge:
         for c, n in frequency.items():
             self.blocks[ord(c) >> 7] += n
         self.most = math.log1p(max(frequency.values(), default=0))
-        self.memo: dict[tuple[str, str], tuple | None] = {}
+        self.memo: dict[tuple, tuple | None] = {}
 
     def weight(self, c: str) -> float:
         return math.log1p(self.frequency.get(c, 0))
@@ -141,7 +142,7 @@ class Judge:
             for to in ORIGINAL:
                 if to != name:
                     then = self.usual(["".join(BACK[to][table[c]] for c in r) for r in runs])[0]
-                    if then > now + 1.5 and then > self.usual_least and (best is None or then > best[0]):
+                    if then > now + min(1.5, self.usual_least) and then > self.usual_least and (best is None or then > best[0]):
                         best = (then, name, to)
         if best is None:
             return None
@@ -176,8 +177,8 @@ class Judge:
         gain = sum(map(self.weight, seen)) / len(seen) - sum(map(self.weight, run)) / len(run)
         return gain if gain > 0 or evident else None
 
-    def turn_back(self, run: str, before: str = "", after: str = "") -> tuple[str, str] | None:
-        """(original, encodings) of a garbled stretch, or None."""
+    def turn_back(self, run: str, before: str = "", after: str = "", shown: frozenset[str] = frozenset()) -> tuple[str, str] | None:
+        """(original, encodings) of a garbled stretch, or None; shown: encodings proven elsewhere in the text."""
         best: tuple[float, str, str] | None = None
         frontier = [(run, "")]
         for _ in range(LAYERS):
@@ -185,7 +186,7 @@ class Judge:
             for text, path in frontier:
                 for name in SINGLE:
                     if (got := self._single(text, name)) is not None and got != text:
-                        evident = name in self.learned or name in ASSUME
+                        evident = name in self.learned or name in ASSUME or name in shown
                         onward.append((got, f"{path}{name} "))
                         score = self._plausible(run, got, evident, before, after)
                         if score is not None and (best is None or score > best[0]):
@@ -201,13 +202,13 @@ class Judge:
                         best = (score, got, name)
             if (got := self._swapped(run)) is not None and got.strip():
                 gain = sum(self.weight(c) if c > "\x7f" else self.most for c in got) - sum(map(self.weight, run))
-                if all(map(self.known, got)) and all(c.isprintable() or c.isspace() for c in got) and gain > 1.5 * len(run) and (best is None or gain / len(run) > best[0]):
+                if all(map(self.known, got)) and all(c.isprintable() or c.isspace() for c in got) and gain > min(1.5, 0.4 * self.most) * len(run) and (best is None or gain / len(run) > best[0]):
                     best = (gain / len(run), got, "utf_16")
         return best and best[1:]
 
     def restore(self, text: str) -> tuple[bool, str, list[str]]:
         """(garbled, text turned back, encodings) of a whole text."""
-        out, at, names = [], 0, set()
+        names = set()
         lines = text.split("\n")
         for i, line in enumerate(lines):
             if not line.isascii() and (got := self.legacy(line)):
@@ -216,26 +217,50 @@ class Judge:
         text = "\n".join(lines)
         if not is_suspect(text):
             return bool(names), text, sorted(names)
+        fixed, how = self._pass(text, frozenset())
+        shown = frozenset(n for h in how for n in h.split()) - self.learned - {*ASSUME}
+        if shown & {*SINGLE}:  # what long stretches prove holds for the short ones of the same text
+            fixed, how = self._pass(text, shown)
+        return bool(names or how) or LOST in text, fixed, sorted(names | how)
+
+    def _pass(self, text: str, shown: frozenset[str]) -> tuple[str, set[str]]:
+        out, at, how = [], 0, set()
         for m in _RUN.finditer(text):
             run = m[0]
             if not _SUSPECT.search(run):
                 continue
-            before, after = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
-            key = (run, before + "|" + after)
+            key = (run, text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1], shown)
             if key not in self.memo:
-                if len(self.memo) > 200_000:
+                if len(self.memo) > 100_000:
                     self.memo.clear()
-                self.memo[key] = self.turn_back(run, before, after)
+                self.memo[key] = self.turn_back(*key)
             if got := self.memo[key]:
                 out += [text[at : m.start()], got[0]]
                 at = m.end()
-                names.add(got[1])
-        fixed = "".join(out) + text[at:]
-        return bool(names) or LOST in text, fixed, sorted(names)
+                how.add(got[1])
+        return "".join(out) + text[at:], how
+
+
+def _natural(text: str, covered: re.Pattern) -> list[str]:
+    """The stretches of non-ASCII characters that are not suspicious as a whole; none where those are most of the text's."""
+    runs = _RUN.findall(text)
+    plain = [r for r in runs if not covered.search(r)]
+    return plain if 2 * len(plain) >= len(runs) else []
+
+
+def _proven(run: str) -> str | None:
+    """The first encoding that turns a suspicious stretch into six or more letters of one block beyond Latin; such a stretch proves itself."""
+    for name in SINGLE:
+        if re.fullmatch(f"(?:{_UNITS[name].pattern})+", run):
+            text = bytes(TABLES[name].get(c, 0xFF) for c in run).decode("utf-8", "replace")
+            if len(text) >= 6 and len({ord(c) >> 7 for c in text}) == 1 and text[0] > "\u024f" and all(unicodedata.category(c)[0] in "LM" for c in text):
+                return name
+    return None
 
 
 def inventory(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(seen, n): in how many unsuspicious documents each non-ASCII character, and each pair of 8-bit letters, occurs."""
+    """(seen, n): in how many documents each non-ASCII character, and each pair of 8-bit letters, occurs outside suspicious stretches;
+    as `!name`, the documents in which a stretch proves an encoding by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
@@ -243,9 +268,11 @@ def inventory(documents: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for t in batch.column(0):
                 t = t.as_py()
-                if t and not t.isascii() and not unsafe.search(t):
-                    n.update(c for c in set(t) if c > "\x7f")
-                    n.update({a + b for a, b in zip(t, t[1:], strict=False) if a in _LETTERS and b in _LETTERS})
+                if t and not t.isascii():
+                    runs = set(_natural(t, unsafe))
+                    n.update({f"!{name}" for r in set(_RUN.findall(t)) - runs if len(r) > 11 and unsafe.search(r) and (name := _proven(r))})
+                    n.update({c for r in runs for c in r})
+                    n.update({r[i : i + 2] for r in runs for i in range(len(r) - 1) if r[i] in _LETTERS and r[i + 1] in _LETTERS})
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["seen", "n"])
 
     counts = documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "seen string, n long")
@@ -294,6 +321,7 @@ def restored(documents: DataFrame, key: str = "doc_id", text: str = "text", leas
     support = learn(documents, text).groupBy("name").agg(F.max("support").alias("s")).collect()
     learned = {r.name for r in support if r.s >= least_support}
     counts = {r.seen: r.n for r in inventory(documents, text).collect()}
+    learned |= {k[1:] for k in counts if len(k) > 2}
     frequency, pairs = {k: n for k, n in counts.items() if len(k) == 1}, {k: n for k, n in counts.items() if len(k) == 2}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
