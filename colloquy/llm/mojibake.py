@@ -61,6 +61,7 @@ def _table(name: str) -> dict[str, int]:
 
 TABLES = {n: _table(n) for n in dict.fromkeys([*SINGLE, *LEGACY, *ORIGINAL])}
 BACK = {n: {b: c for c, b in TABLES[n].items()} for n in ORIGINAL}
+_EIGHT_BIT = {c for n in LEGACY for c in TABLES[n]}
 _LETTERS = {c for n in TABLES for c in TABLES[n] if c.isalpha()}
 
 
@@ -85,6 +86,15 @@ def is_suspect(text: str) -> bool:
     return bool(_SUSPECT.search(text))
 
 
+def _reread(run: str, wrong: str, right: str) -> str:
+    return "".join(BACK[right][TABLES[wrong][c]] for c in run)
+
+
+def _word(text: str) -> bool:
+    """Letters of one block in a natural pattern of cases."""
+    return text.isalpha() and len({ord(c) >> 8 for c in text}) == 1 and (text.islower() or text.istitle() or text.isupper() or not text.lower() != text.upper())
+
+
 class Judge:
     """Turns stretches back; holds document frequencies, letter pair counts, learned encodings and a memo of stretches."""
 
@@ -128,12 +138,8 @@ class Judge:
         got = [self.pairs.get(r[i : i + 2], 0) for r in runs for i in range(len(r) - 1)]
         return (sum(map(math.log1p, got)) / len(got) if got else 0.0), len(got)
 
-    def legacy(self, line: str) -> tuple[str, str] | None:
-        """(original, encodings) of a line written in one 8-bit encoding and read in another."""
-        runs = _RUN.findall(line)
-        now, n = self.usual(runs)
-        if n < 6 or not self.pairs or now > self.usual_least:
-            return None
+    def _legacy(self, runs: list[str], now: float, least: float) -> tuple[str, str] | None:
+        """The (wrong, right) 8-bit encodings that make the runs' letter pairs most usual."""
         best = None
         for name in LEGACY:
             table = TABLES[name]
@@ -141,12 +147,31 @@ class Judge:
                 continue
             for to in ORIGINAL:
                 if to != name:
-                    then = self.usual(["".join(BACK[to][table[c]] for c in r) for r in runs])[0]
-                    if then > now + min(1.5, self.usual_least) and then > self.usual_least and (best is None or then > best[0]):
+                    then = self.usual([_reread(r, name, to) for r in runs])[0]
+                    if then > now + min(1.5, self.usual_least) and then > least and (best is None or then > best[0]):
                         best = (then, name, to)
-        if best is None:
+        return best and best[1:]
+
+    def legacy(self, line: str) -> tuple[str, str] | None:
+        """(original, encodings) of a line, or of words of a line, written in one 8-bit encoding and read in another."""
+        runs = [r for r in _RUN.findall(line) if _EIGHT_BIT.issuperset(r)]
+        if not runs or not self.pairs:
             return None
-        return _RUN.sub(lambda m: "".join(BACK[best[2]][TABLES[best[1]][c]] for c in m[0]) if any(map(str.isalpha, m[0])) else m[0], line), f"{best[1]} for {best[2]}"
+        now, n = self.usual(runs)
+        if n >= 6 and now <= self.usual_least and (got := self._legacy(runs, now, self.usual_least)):
+            words = {r: got for r in runs if any(map(str.isalpha, r))}
+        else:
+            words = {}
+            for r in set(runs):
+                if len(r) >= 4 and (was := self.usual([r])[0]) < 1.2 * self.usual_least and (got := self._legacy([r], was, max(1.2 * self.usual_least, was + 0.6 * self.usual_least))) and _word(_reread(r, *got)):
+                    words[r] = got
+            for r in set(runs) - set(words):  # short neighbours, by an encoding shown in the line
+                ways = [got for got in set(words.values()) if all(c in TABLES[got[0]] for c in r) and self.usual([_reread(r, *got)])[0] > self.usual([r])[0] + self.usual_least]
+                if 1 < len(r) < 4 and ways:
+                    words[r] = ways[0]
+        if not words:
+            return None
+        return _RUN.sub(lambda m: _reread(m[0], *words[m[0]]) if m[0] in words else m[0], line), ", ".join(sorted({f"{a} for {b}" for a, b in words.values()}))
 
     def _double(self, run: str, name: str) -> str | None:
         if not _WIDE.search(run):
@@ -208,20 +233,19 @@ class Judge:
 
     def restore(self, text: str) -> tuple[bool, str, list[str]]:
         """(garbled, text turned back, encodings) of a whole text."""
-        names = set()
+        how: set[str] = set()
+        if is_suspect(text):
+            first, how = self._pass(text, frozenset())
+            shown = frozenset(n for h in how for n in h.split()) - self.learned - {*ASSUME}
+            if shown & {*SINGLE}:  # what long stretches prove holds for the short ones of the same text
+                first, how = self._pass(text, shown)
+            text = first
         lines = text.split("\n")
         for i, line in enumerate(lines):
             if not line.isascii() and (got := self.legacy(line)):
                 lines[i] = got[0]
-                names.add(got[1])
-        text = "\n".join(lines)
-        if not is_suspect(text):
-            return bool(names), text, sorted(names)
-        fixed, how = self._pass(text, frozenset())
-        shown = frozenset(n for h in how for n in h.split()) - self.learned - {*ASSUME}
-        if shown & {*SINGLE}:  # what long stretches prove holds for the short ones of the same text
-            fixed, how = self._pass(text, shown)
-        return bool(names or how) or LOST in text, fixed, sorted(names | how)
+                how.add(got[1])
+        return bool(how) or LOST in text, "\n".join(lines), sorted(how)
 
     def _pass(self, text: str, shown: frozenset[str]) -> tuple[str, set[str]]:
         out, at, how = [], 0, set()
