@@ -48,8 +48,8 @@ def speech_ratio(df: DataFrame, name: str, neutral: float = 0.6) -> DataFrame:
 
 def channel_segments(spans: DataFrame, min_ms: int = 300) -> DataFrame:
     """Segments from per-channel speech spans (clip_id, channel, start_ms, end_ms): speakers named by channel, short ones dropped, numbered in time."""
-    from ..operators.ordered import blocked, prefix_sum
+    from ..operators.ordered import blocked, scan
 
     rows = spans.where(F.col("end_ms") - F.col("start_ms") >= min_ms).withColumn("speaker", F.format_string("SPEAKER_%02d", F.col("channel")))
-    numbered = prefix_sum(blocked(rows, "start_ms"), ["clip_id"], ["start_ms", "channel", "end_ms"], F.lit(1), "n")
+    numbered = scan(blocked(rows, ["clip_id"], "start_ms"), ["clip_id"], ["start_ms", "channel", "end_ms"], sums={"n": F.lit(1)})
     return numbered.select("clip_id", (F.col("n") - 1).cast("int").alias("seg_idx"), "speaker", "start_ms", "end_ms")

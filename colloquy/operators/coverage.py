@@ -12,10 +12,10 @@ further columns of any name do no harm.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_MS = 3_600_000
+from .ordered import BLOCK_MS, blocked, scan
 
 
 def valid_intervals(df: DataFrame, entity: str = "clip_id", start: str = "start_ms", end: str = "end_ms") -> DataFrame:
@@ -24,41 +24,19 @@ def valid_intervals(df: DataFrame, entity: str = "clip_id", start: str = "start_
     return rows.where(F.col("entity").isNotNull() & (F.col("end") > F.col("start")))
 
 
-def _block(t: str, block_ms: int) -> Column:
-    return F.floor(F.col(t) / F.lit(block_ms)).cast("long")
-
-
-def _next_moment(events: DataFrame, block_ms: int) -> DataFrame:
-    """Adds nxt, the entity's next later t: inside the block by a window, across blocks from the blocks' first moments."""
-    events = events.withColumn("block", _block("t", block_ms))
-    firsts = events.groupBy("entity", "block").agg(F.min("t").alias("first_t"))
-    firsts = firsts.withColumn("later_t", F.lead("first_t").over(Window.partitionBy("entity").orderBy("block"))).drop("first_t")
-    inside = Window.partitionBy("entity", "block").orderBy("t")
-    return events.join(firsts, ["entity", "block"]).withColumn("nxt", F.coalesce(F.lead("t").over(inside), F.col("later_t"))).drop("later_t", "block")
-
-
 def sweep(df: DataFrame, entity: str = "clip_id", start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:
-    """(entity, t, before, active): the number of running intervals just before and from each moment at which it changes."""
-    events = (
-        valid_intervals(df, entity, start, end)
-        .select("entity", F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(1).alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).alias("d")))).alias("e"))
-        .groupBy("entity", F.col("e.t").alias("t"))
-        .agg(F.sum("e.d").alias("d"))
-        .where("d <> 0")
-        .withColumn("block", _block("t", block_ms))
-    )
-    blocks = events.groupBy("entity", "block").agg(F.sum("d").alias("total"))
-    earlier = Window.partitionBy("entity").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("carried", F.coalesce(F.sum("total").over(earlier), F.lit(0))).drop("total")
-    running = Window.partitionBy("entity", "block").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    return events.join(blocks, ["entity", "block"]).withColumn("active", F.col("carried") + F.sum("d").over(running)).select("entity", "t", (F.col("active") - F.col("d")).alias("before"), "active")
+    """(entity, block, t, before, active): the number of running intervals just before and from each moment at which it changes."""
+    moments = F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(1).alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).alias("d"))))
+    events = valid_intervals(df, entity, start, end).select("entity", moments.alias("e")).groupBy("entity", F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d")).where("d <> 0")
+    rows = scan(blocked(events, ["entity"], "t", block_ms), ["entity"], ["t"], sums={"active": F.col("d")})
+    return rows.select("entity", "block", "t", (F.col("active") - F.col("d")).alias("before"), "active")
 
 
 def periods_and_gaps(df: DataFrame, entity: str = "clip_id", start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:
     """(entity, kind, start_ms, end_ms): kind 'period' for covered stretches at full length, 'gap' for the stretches between."""
-    edges = sweep(df, entity, start, end, block_ms).where("before = 0 or active = 0")
-    paired = _next_moment(edges.select("entity", "t", (F.col("before") == 0).alias("opens")), block_ms).where("nxt is not null")
-    return paired.select("entity", F.when(F.col("opens"), "period").otherwise("gap").alias("kind"), F.col("t").alias("start_ms"), F.col("nxt").alias("end_ms"))
+    edges = sweep(df, entity, start, end, block_ms).where("before = 0 or active = 0").select("entity", "block", "t", (F.col("before") == 0).alias("opens"))
+    paired = scan(edges, ["entity"], ["t"], nxt="nxt").where("nxt is not null")
+    return paired.select("entity", F.when(F.col("opens"), "period").otherwise("gap").alias("kind"), F.col("t").alias("start_ms"), F.col("nxt.t").alias("end_ms"))
 
 
 def free_starts(df: DataFrame, entity: str = "clip_id", start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:
@@ -66,10 +44,6 @@ def free_starts(df: DataFrame, entity: str = "clip_id", start: str = "start_ms",
 
     The first start of an entity is free; its silence counts from 0 and is never negative.
     """
-    starts = valid_intervals(df, entity, start, end).groupBy("entity", F.col("start").alias("t")).agg(F.max("end").alias("end")).withColumn("block", _block("t", block_ms))
-    blocks = starts.groupBy("entity", "block").agg(F.max("end").alias("reach"))
-    earlier = Window.partitionBy("entity").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("carried", F.max("reach").over(earlier)).drop("reach")
-    inside = Window.partitionBy("entity", "block").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    reached = starts.join(blocks, ["entity", "block"]).withColumn("reach", F.greatest("carried", F.max("end").over(inside)))
-    return reached.where("reach is null or reach <= t").select("entity", F.col("t").alias("at"), F.greatest(F.lit(0), F.col("t") - F.coalesce("reach", F.lit(0))).alias("silence"))
+    starts = valid_intervals(df, entity, start, end).groupBy("entity", F.col("start").alias("t")).agg(F.max("end").alias("end"))
+    rows = scan(blocked(starts, ["entity"], "t", block_ms), ["entity"], ["t"], maxima={"reach": F.col("end")}).where("reach is null or reach <= t")
+    return rows.select("entity", F.col("t").alias("at"), F.greatest(F.lit(0), F.col("t") - F.coalesce("reach", F.lit(0))).alias("silence"))

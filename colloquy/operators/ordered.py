@@ -1,8 +1,9 @@
 """Ordered operations on time lines that may be too long for one task.
 
 A plain window partitioned by clip puts an endless clip into a single task. Here the time line is cut into blocks of `block_ms`;
-windows run per (key, block), and what crosses a block's edge comes from a summary with one row per block, joined back. The
-join and the windows share the partitioning by (key, block), so each operation adds only the summary's exchange.
+windows run per (key, block), and what crosses a block's edge comes from a summary with one row per block, joined back. Rows are
+partitioned by (key, block) once; the windows, the summary and the join all use that partitioning, so `scan` adds only the
+exchange of the summary.
 """
 
 from __future__ import annotations
@@ -13,50 +14,45 @@ from pyspark.sql import functions as F
 BLOCK_MS = 3_600_000
 
 
-def blocked(df: DataFrame, t: str, block_ms: int = BLOCK_MS) -> DataFrame:
-    return df.withColumn("block", F.floor(F.col(t) / F.lit(block_ms)).cast("long"))
+def blocked(df: DataFrame, by: list[str], t: str, block_ms: int = BLOCK_MS) -> DataFrame:
+    return df.withColumn("block", F.floor(F.col(t) / F.lit(block_ms)).cast("long")).repartition(*by, "block")
 
 
-def _inside(by: list[str], order: list[str]):
-    return Window.partitionBy(*by, "block").orderBy(*order)
+def scan(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column] | None = None, fields: list[str] | None = None, prev: str | None = None, nxt: str | None = None, maxima: dict[str, Column] | None = None) -> DataFrame:
+    """One pass in each key's order over blocked rows (order[0] is the time that fixes the block). Adds
 
-
-def prefix_sum(df: DataFrame, by: list[str], order: list[str], value: Column, name: str) -> DataFrame:
-    """Adds the inclusive running sum of an integer value in the key's order; order[0] fixes the block."""
-    df = df.withColumn("__v", value)
-    earlier = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = df.groupBy(*by, "block").agg(F.sum("__v").alias("__s"))
-    blocks = blocks.select(*by, "block", F.coalesce(F.sum("__s").over(earlier), F.lit(0)).alias("__before"))
-    running = F.sum("__v").over(_inside(by, order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.join(blocks, [*by, "block"]).withColumn(name, F.col("__before") + running).drop("__before", "__v")
-
-
-def neighbours(df: DataFrame, by: list[str], order: list[str], fields: list[str], prev: str | None = "prev", nxt: str | None = "nxt") -> DataFrame:
-    """Adds structs of the fields of the row before and after in the key's order (null at its ends)."""
-    row = F.struct(*order, *[f for f in fields if f not in order])
-    ends = df.groupBy(*by, "block").agg(F.min(row).alias("__first"), F.max(row).alias("__last"))
+    sums: inclusive running sums of integer values; maxima: running maxima over the rows before; prev, nxt: structs of the order
+    and fields of the neighbouring rows, null at the ends. A value of sums or maxima must be a plain column of the row.
+    """
+    sums, maxima = sums or {}, maxima or {}
+    row = F.struct(*order, *[f for f in fields or [] if f not in order])
+    inside = Window.partitionBy(*by, "block").orderBy(*order)
+    upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
     along = Window.partitionBy(*by).orderBy("block")
-    ends = ends.select(*by, "block", F.lag("__last").over(along).alias("__last"), F.lead("__first").over(along).alias("__first"))
-    out, inside = df.join(ends, [*by, "block"]), _inside(by, order)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    totals = [F.sum(v).alias(f"__s_{n}") for n, v in sums.items()] + [F.max(v).alias(f"__m_{n}") for n, v in maxima.items()]
+    totals += [F.max(row).alias("__last")] * bool(prev) + [F.min(row).alias("__first")] * bool(nxt)
+    edge = [F.coalesce(F.sum(f"__s_{n}").over(earlier), F.lit(0)).alias(f"__s_{n}") for n in sums] + [F.max(f"__m_{n}").over(earlier).alias(f"__m_{n}") for n in maxima]
+    edge += [F.lag("__last").over(along).alias("__last")] * bool(prev) + [F.lead("__first").over(along).alias("__first")] * bool(nxt)
+    carried = df.groupBy(*by, "block").agg(*totals).select(*by, "block", *edge)
+    new = {n: F.col(f"__s_{n}") + F.sum(v).over(upto) for n, v in sums.items()} | {n: F.greatest(F.col(f"__m_{n}"), F.max(v).over(before)) for n, v in maxima.items()}
     if prev:
-        out = out.withColumn(prev, F.coalesce(F.lag(row).over(inside), F.col("__last")))
+        new[prev] = F.coalesce(F.lag(row).over(inside), F.col("__last"))
     if nxt:
-        out = out.withColumn(nxt, F.coalesce(F.lead(row).over(inside), F.col("__first")))
-    return out.drop("__last", "__first")
+        new[nxt] = F.coalesce(F.lead(row).over(inside), F.col("__first"))
+    drop = [f"__s_{n}" for n in sums] + [f"__m_{n}" for n in maxima] + ["__last", "__first"]
+    return df.join(carried, [*by, "block"]).withColumns(new).drop(*drop)
 
 
-def active_area(intervals: DataFrame, by: list[str], start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:
-    """(by, t, area, pair_ms): at each boundary, the summed length of intervals up to t, and the time of simultaneous pairs since the boundary before.
+def steps(intervals: DataFrame, by: list[str], start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:
+    """(by, block, t, d, active, ms): at each boundary the change and number of running intervals, and the time since the boundary before.
 
-    area grows by the number of running intervals, pair_ms is k * (k - 1) / 2 times the length of the step; no pair is ever made.
+    Boundaries are pre-aggregated per moment, so repeated rows never meet in one task.
     """
     moments = F.explode(F.array(F.struct(F.col(start).alias("t"), F.lit(1).alias("d")), F.struct(F.col(end).alias("t"), F.lit(-1).alias("d"))))
     events = intervals.select(*by, moments.alias("e")).groupBy(*by, F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d"))
-    events = prefix_sum(blocked(events, "t", block_ms), by, ["t"], F.col("d"), "active")
-    events = neighbours(events, by, ["t"], ["t"], nxt=None)
-    step, k = F.coalesce(F.col("t") - F.col("prev.t"), F.lit(0)), F.col("active") - F.col("d")
-    events = events.withColumn("step_area", step * k).withColumn("pair_ms", step * k * (k - 1) / 2)
-    return prefix_sum(events, by, ["t"], F.col("step_area"), "area").select(*by, "t", "area", F.col("pair_ms").cast("long").alias("pair_ms"))
+    rows = scan(blocked(events, by, "t", block_ms), by, ["t"], sums={"active": F.col("d")}, prev="prev")
+    return rows.withColumn("ms", F.coalesce(F.col("t") - F.col("prev.t"), F.lit(0))).drop("prev")
 
 
 def ratio(n: Column, d: Column, places: int) -> Column:

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
-from .ordered import BLOCK_MS, active_area, blocked, neighbours, prefix_sum
+from .ordered import BLOCK_MS, blocked, scan, steps
 
 COLUMNS = ["clip_id", "seg_idx", "speaker", "start_ms", "end_ms"]
 ORDER = ["start_ms", "seg_idx"]
 PAIR_BLOCK_MS = 60_000
+EVERYONE = "*"
 
 
 def clean_segments(df: DataFrame, min_ms: int = Thresholds.min_segment_ms) -> DataFrame:
@@ -23,6 +24,11 @@ def clean_segments(df: DataFrame, min_ms: int = Thresholds.min_segment_ms) -> Da
     return rows.where(F.col("clip_id").isNotNull() & F.col("speaker").isNotNull() & (F.col("end_ms") - F.col("start_ms") >= min_ms)).distinct()
 
 
+def everyone_and_one() -> Column:
+    """who: each segment once for everyone and once for its speaker."""
+    return F.explode(F.array(F.lit(EVERYONE), F.concat(F.lit("="), "speaker"))).alias("who")
+
+
 def _spread(start: str, end: str, block_ms: int) -> Column:
     """All blocks that a half-open interval touches."""
     return F.explode(F.sequence(F.floor(F.col(start) / block_ms), F.floor((F.col(end) - 1) / block_ms)))
@@ -47,11 +53,13 @@ def mark_overlaps(segments: DataFrame) -> DataFrame:
     The area under the number of running intervals, of all speakers minus the own one, is read at both ends of a segment: no
     pairs are made, so dense clips cost no more than sparse ones.
     """
-    every = active_area(segments, ["clip_id"]).select("clip_id", "t", F.col("area").alias("all_area"))
-    own = active_area(segments, ["clip_id", "speaker"]).select("clip_id", "speaker", "t", F.col("area").alias("own_area"))
+    spoken = segments.select(*COLUMNS, everyone_and_one())
+    rows = steps(spoken, ["clip_id", "who"]).withColumn("step", F.col("ms") * (F.col("active") - F.col("d")))
+    area = scan(rows, ["clip_id", "who"], ["t"], sums={"area": F.col("step")}).select("clip_id", "t", "who", "area")
+    area = area.groupBy("clip_id", "t").agg(F.map_from_entries(F.collect_list(F.struct("who", "area"))).alias("area"))
     ends = segments.select(*COLUMNS, F.explode(F.array(F.struct(F.col("start_ms").alias("t"), F.lit(-1).alias("sign")), F.struct(F.col("end_ms").alias("t"), F.lit(1).alias("sign")))).alias("e")).select(*COLUMNS, "e.*")
-    read = ends.join(own, ["clip_id", "speaker", "t"]).join(every, ["clip_id", "t"])
-    marked = read.groupBy(*COLUMNS).agg(F.sum(F.col("sign") * (F.col("all_area") - F.col("own_area"))).alias("overlap_ms"))
+    read = ends.join(area, ["clip_id", "t"])
+    marked = read.groupBy(*COLUMNS).agg(F.sum(F.col("sign") * (F.element_at("area", F.lit(EVERYONE)) - F.element_at("area", F.concat(F.lit("="), "speaker")))).alias("overlap_ms"))
     return marked.withColumn("clean", F.col("overlap_ms") == 0)
 
 
@@ -75,9 +83,9 @@ def words_in_turns(words: DataFrame, turns: DataFrame, block_ms: int = 60_000) -
 
 def silence_groups(segments: DataFrame, gap_ms: int = Thresholds.silence_gap_ms, block_ms: int = BLOCK_MS) -> DataFrame:
     """Each segment with grp, counting from 0: a new group begins gap_ms or more after the end of the segment before."""
-    rows = neighbours(blocked(segments.select(*COLUMNS), "start_ms", block_ms), ["clip_id"], ORDER, ["end_ms"], nxt=None)
-    opens = F.when(F.col("start_ms") - F.col("prev.end_ms") >= gap_ms, 1).otherwise(0)
-    return prefix_sum(rows, ["clip_id"], ORDER, opens, "grp").select(*COLUMNS, F.col("grp").cast("long").alias("grp"))
+    rows = scan(blocked(segments.select(*COLUMNS), ["clip_id"], "start_ms", block_ms), ["clip_id"], ORDER, fields=["end_ms"], prev="prev")
+    rows = rows.select(*COLUMNS, "block", F.when(F.col("start_ms") - F.col("prev.end_ms") >= gap_ms, 1).otherwise(0).alias("opens"))
+    return scan(rows, ["clip_id"], ORDER, sums={"grp": F.col("opens")}).select(*COLUMNS, F.col("grp").cast("long").alias("grp"))
 
 
 def cut_points(segments: DataFrame, totals: DataFrame, min_gap_ms: int = 400) -> DataFrame:

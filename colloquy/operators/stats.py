@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
-from .ordered import BLOCK_MS, active_area, blocked, neighbours, ratio
-from .segments import ORDER
+from .ordered import BLOCK_MS, blocked, ratio, scan, steps
+from .segments import EVERYONE, ORDER, everyone_and_one
 
 
 def talk_time(segments: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def conversation_stats(segments: DataFrame, th: Thresholds = Thresholds(), block
     Neighbours across a long time line come from block summaries; the sum of pairwise overlaps from the numbers of running
     segments (of all speakers, minus those of the same one), so neither a hot clip nor a dense one grows a task.
     """
-    rows = neighbours(blocked(segments, "start_ms", block_ms), ["clip_id"], ORDER, ["end_ms", "speaker"])
+    rows = scan(blocked(segments.select("clip_id", *ORDER, "end_ms", "speaker"), ["clip_id"], "start_ms", block_ms), ["clip_id"], ORDER, fields=["end_ms", "speaker"], prev="prev", nxt="nxt")
     length = F.col("end_ms") - F.col("start_ms")
     change = F.col("prev.speaker") != F.col("speaker")
     sandwiched = (length < th.backchannel_ms) & (F.col("prev.speaker") == F.col("nxt.speaker")) & change
@@ -33,9 +33,11 @@ def conversation_stats(segments: DataFrame, th: Thresholds = Thresholds(), block
         F.count(gap).alias("n_gaps"), F.coalesce(F.sum(gap), F.lit(0)).alias("gap_ms"), F.percentile(length, 0.5).alias("median_turn_ms"),
     )
     speakers = segments.groupBy("clip_id", "speaker").agg(F.sum(length).alias("ms")).groupBy("clip_id").agg(F.count("*").alias("n_speakers"), F.max("ms").alias("most_ms"))
-    every = active_area(segments, ["clip_id"], block_ms=block_ms).groupBy("clip_id").agg(F.sum("pair_ms").alias("all_pairs"))
-    own = active_area(segments, ["clip_id", "speaker"], block_ms=block_ms).groupBy("clip_id").agg(F.sum("pair_ms").alias("own_pairs"))
-    joined = base.join(speakers, "clip_id").join(every, "clip_id").join(own, "clip_id").withColumn("overlap_ms", F.col("all_pairs") - F.col("own_pairs"))
+    spoken = segments.select("clip_id", "start_ms", "end_ms", everyone_and_one())
+    k = F.col("active") - F.col("d")
+    pairs = F.when(F.col("who") == EVERYONE, 1).otherwise(-1) * F.call_function("div", F.col("ms") * k * (k - 1), F.lit(2).cast("long"))
+    overlaps = steps(spoken, ["clip_id", "who"], block_ms=block_ms).groupBy("clip_id").agg(F.sum(pairs).alias("overlap_ms"))
+    joined = base.join(speakers, "clip_id").join(overlaps, "clip_id")
     c = F.col
     return joined.select(
         "clip_id", "n_speakers", "n_segments", "n_turns", "backchannels", "duration_ms", "talk_ms", "overlap_ms", "median_turn_ms",

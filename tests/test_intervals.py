@@ -7,7 +7,7 @@ import random
 import pytest
 
 from colloquy.operators import coverage, segments, stats
-from colloquy.operators.ordered import neighbours, blocked, prefix_sum
+from colloquy.operators.ordered import blocked, scan
 from pyspark.sql import functions as F
 
 SCHEMA = "clip_id string, seg_idx int, speaker string, start_ms long, end_ms long, entity string, block long, t long, d long"
@@ -86,13 +86,13 @@ def test_overlaps_against_pairs(spark):
 @pytest.mark.parametrize("block_ms", [300, 10_000_000])
 def test_ordered_helpers(spark, block_ms):
     rows = [("k", i % 3, (i * 37) % 1000, i) for i in range(80)]
-    df = blocked(spark.createDataFrame(rows, "clip_id string, kind int, t long, i long"), "t", block_ms)
-    got = prefix_sum(neighbours(df, ["clip_id"], ["t", "i"], ["kind"]), ["clip_id"], ["t", "i"], F.col("i"), "s").orderBy("t", "i").collect()
+    df = blocked(spark.createDataFrame(rows, "clip_id string, kind int, t long, i long"), ["clip_id"], "t", block_ms)
+    got = scan(df, ["clip_id"], ["t", "i"], sums={"s": F.col("i")}, maxima={"m": F.col("i")}, fields=["kind"], prev="prev", nxt="nxt").orderBy("t", "i").collect()
     order = sorted(rows, key=lambda r: (r[2], r[3]))
     for n, (g, r) in enumerate(zip(got, order, strict=True)):
         assert (g.prev.kind if g.prev else None) == (order[n - 1][1] if n else None)
         assert (g.nxt.kind if g.nxt else None) == (order[n + 1][1] if n + 1 < len(order) else None)
-        assert g.s == sum(x[3] for x in order[: n + 1])
+        assert g.s == sum(x[3] for x in order[: n + 1]) and g.m == max((x[3] for x in order[:n]), default=None)
 
 
 def test_words_in_turns_and_windows(spark):
