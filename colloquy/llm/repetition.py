@@ -41,14 +41,20 @@ def words_of(text: str) -> list[str]:
 
 def repeated_share(words: list[str], run: int = RUN) -> float:
     """The share of words inside a run of `run` words that also began earlier."""
-    n = len(words)
+    number: dict[str, int] = {}
+    return _share(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)), len(number), run)
+
+
+def _share(ids: np.ndarray, different: int, run: int) -> float:
+    """repeated_share of word numbers below `different`."""
+    n = len(ids)
     if n <= run:
         return 0.0
-    number: dict[str, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
     code = ids[: n - run + 1]
     for k in range(1, run):  # exact: codes are renumbered after each word, so they stay below n
-        code = np.unique(code * len(number) + ids[k : n - run + 1 + k], return_inverse=True)[1]
+        code = code * different + ids[k : n - run + 1 + k]
+        if k + 1 < run and different ** (k + 2) > 1 << 62:
+            code = np.unique(code, return_inverse=True)[1]
     first = np.unique(code, return_index=True)[1]
     later = np.ones(len(code), bool)
     later[first] = False
@@ -80,6 +86,34 @@ def _sentence_pieces(folder: str):
     return _pieces[folder]
 
 
+class _Band:
+    """Word numbers, token counts and entropy of texts; the tokens of a word are looked up once per worker task."""
+
+    def __init__(self, share: float, folder: str, held: int = 500_000):
+        self.tok, self.share, self.held, self.ids = load(BYTE_BPE, folder), share, held, {}
+
+    def measure(self, text: str) -> tuple[int, int, int, float, bool, float | None]:
+        """(words, their characters, tokens, entropy, in band, repeated share) of a text."""
+        words = words_of(text)
+        number: dict[str, int] = {}
+        ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        if not words:
+            return 0, 0, 0, 0.0, False, 0.0
+        if missing := [w for w in number if w not in self.ids]:
+            if len(self.ids) > self.held:
+                self.ids, missing = {}, list(number)
+            self.ids.update(zip(missing, (e.ids for e in self.tok.encode_batch(missing, add_special_tokens=False)), strict=True))
+        count: dict[int, int] = {}
+        for w, n in zip(number, np.bincount(ids).tolist(), strict=True):
+            for i in self.ids[w]:
+                count[i] = count.get(i, 0) + n
+        c = np.fromiter(count.values(), np.float64, len(count))
+        tokens = int(c.sum())
+        h = math.log2(tokens) - float((c * np.log2(c)).sum()) / tokens
+        band = h <= math.log2(tokens) - 2 * self.share * len(words) / tokens + 1e-9
+        return len(words), sum(map(len, words)), tokens, h, band, _share(ids, len(number), RUN) if band else None
+
+
 def measures(rows: DataFrame, key: str, text: str, share: float = SHARE, folder: str = FOLDER) -> DataFrame:
     """(key, script, words, tokens, chars_per_token, fallback_share, token_entropy, in_band, repeated_share) of every row.
 
@@ -87,20 +121,15 @@ def measures(rows: DataFrame, key: str, text: str, share: float = SHARE, folder:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, sp = load(BYTE_BPE, folder), _sentence_pieces(folder)
+        band, sp = _Band(share, folder), _sentence_pieces(folder)
         for batch in batches:
             out = []
             for t in batch.column(1):
                 t = t.as_py() or ""
-                words = words_of(t)
-                different = list(dict.fromkeys(words))
-                own = {w: e.ids for w, e in zip(different, tok.encode_batch(different, add_special_tokens=False), strict=True)}
-                ids = [i for w in words for i in own[w]]
-                h = entropy(ids)
+                words, chars, tokens, h, inside, repeated = band.measure(t)
                 pieces = sp.encode(t, num_threads=1) if t else []
                 fallback = sum(map(sp.is_byte, pieces)) / len(pieces) if pieces else 0.0
-                band = bool(words) and h <= math.log2(len(ids)) - 2 * share * len(words) / len(ids) + 1e-9
-                out.append((_script(t), len(words), len(ids), sum(map(len, words)) / max(1, len(ids)), fallback, h, band, repeated_share(words) if band else 0.0 if not words else None))
+                out.append((_script(t), words, tokens, chars / max(1, tokens), fallback, h, inside, repeated))
             cols = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 8, _KINDS, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["k", *_NAMES])
 
@@ -127,5 +156,13 @@ def rejected(measured: DataFrame, outside: float = 0.02) -> DataFrame:
 
 
 def repetitive(rows: DataFrame, key: str = "audio_id", text: str = "transcript", share: float = SHARE, folder: str = FOLDER) -> DataFrame:
-    """(key) of the rows at least `share` of whose words are repeated."""
-    return measures(rows, key, text, share, folder).where(F.col("in_band") & (F.col("repeated_share") >= share)).select(key)
+    """(key) of the rows at least `share` of whose words are repeated: inside the band, and by the exact share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band = _Band(share, folder)
+        for batch in batches:
+            keep = [band.measure(t.as_py() or "")[4:] for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array([inside and (r or 0.0) >= share for inside, r in keep], pa.bool_()))], names=["k"])
+
+    own = rows.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
+    return own.mapInArrow(run, f"k {own.schema['k'].dataType.simpleString()}").withColumnRenamed("k", key)
