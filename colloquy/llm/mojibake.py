@@ -3,21 +3,22 @@
 1. Inventory. Every document counts its different characters outside stretches that read as a byte pattern (document frequencies).
 2. Twins. Lines are stripped of their non-ASCII characters; what is left, with the byte length of each stretch left out, is the
    key on which garbled lines meet clean ones (a garbled stretch has one character a byte, a clean one is UTF-8). Lines too
-   poor in such features are not used. Both sides are made distinct first, so copies never multiply.
+   poor in such features are not used. Both sides are made distinct first, so copies never multiply; a bit filter of the garbled
+   lines' keys keeps clean lines without a partner out of the shuffle.
 3. Alignment. The characters of a pair's stretches are laid against the UTF-8 bytes of its twin; where all agree with one wrong
    encoding of the family below, that encoding gets the line's support, and its character sequences become learned mappings.
    Pairs of neighbouring letters of the 8-bit alphabets are counted as well (at most the square of some 900 letters).
 4. Application. In every document, whole texts: each stretch of non-ASCII characters around a suspicious pattern is turned back
    by each encoding, up to three layers deep, and the most plausible result is taken. It must explain the whole stretch, and its
-   characters must be known from clean text. Short stretches need an encoding that is learned, in `ASSUME` or proven by
-   long stretches, which speak for themselves. Double-byte encodings and swapped UTF-16 lose or swallow ASCII characters, so no stripped twin exists for them;
-   they are recognised by their bytes alone, by the same rules. Lines whose letter pairs are unusual are read as one 8-bit
-   encoding taken for another, and turned back if that makes their pairs usual ones. Undecodable bytes (U+FFFD) match any byte and leave U+FFFD.
+   characters must be known from clean text. Short stretches need an encoding that is learned, in `ASSUME`, or proven by long
+   stretches, which speak for themselves. Double-byte encodings and swapped UTF-16 lose or swallow ASCII characters, so no
+   stripped twin exists for them; they are recognised by their bytes alone, by the same rules. Lines or words whose letter pairs
+   are unusual are read as one 8-bit encoding taken for another, and turned back if that makes their pairs usual ones.
+   Undecodable bytes (U+FFFD) match any byte and leave U+FFFD.
 
 Defined results: null, empty and ASCII texts are not garbled; repeated rows are judged alike; a text with nothing but lost
 characters (U+FFFD) is reported, unrestored; empty tables give no rows. Only the inventory (at most one row a Unicode character
-or pair of 8-bit letters) and the support (one row an encoding) reach
-the driver.
+or pair of 8-bit letters), the bit filter of garbled lines' keys (2 MB) and the support (one row an encoding) reach the driver.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import cut
@@ -44,6 +46,7 @@ ORIGINAL = ["cp1251", "koi8_r", "cp866", "cp1253", "cp1256"]
 ASSUME = ("cp1252",)
 LOST = "�"
 LAYERS, LONG = 3, 4
+FILTER_BITS = 24
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _WIDE = re.compile(r"[⺀-퟿-豈-￼　-㏿]")
 
@@ -76,14 +79,18 @@ def _unit(name: str, lost: str = "\\ufffd") -> str:
     return f"(?:{_class(t, 0xC2, 0xDF)}{tail}|{_class(t, 0xE0, 0xEF)}{tail}{tail}|{_class(t, 0xF0, 0xF4)}{tail}{tail}{tail})"
 
 
-SUSPICIOUS = "(?<![^\\x00-\\x7F])(?:" + "|".join(f"(?:{_unit(n)})+" for n in SINGLE) + ")(?![^\\x00-\\x7F])"
+_COVERED = re.compile("|".join(f"(?:{_unit(n)})+" for n in SINGLE))
+_LEADS = {c for n in SINGLE for c, b in TABLES[n].items() if 0xC2 <= b <= 0xF4}
 _UNITS = {n: re.compile(_unit(n)) for n in SINGLE}
 _LENIENT = {n: re.compile(f"{_unit(n)}|{_class(TABLES[n], 0xE0, 0xEF)}{_class(TABLES[n], 0x80, 0xBF)}(?={_class(TABLES[n], 0xC2, 0xF4)}|$)") for n in SINGLE}
-_SUSPECT = re.compile("|".join(map(_unit, SINGLE)) + "|" + _WIDE.pattern + "|\\ufffd|[\\u1000-\\u1fff\\u2300-\\u2dff\\ua000-\\uabff]|[\\u0080-\\u009f]")
+_OTHER = r"\ufffd\u1000-\u1fff\u2300-\u2dff\ua000-\uabff\u0080-\u009f"
+_SUSPECT = re.compile("|".join(map(_unit, SINGLE)) + f"|{_WIDE.pattern}|[{_OTHER}]")
+_ODD = re.compile("[" + "".join(f"\\u{ord(c):04x}" for c in sorted(_LEADS)) + _WIDE.pattern[1:-1] + _OTHER + "]")  # a quick look first
 
 
-def is_suspect(text: str) -> bool:
-    return bool(_SUSPECT.search(text))
+def suspicious(run: str) -> bool:
+    """Whether a stretch of non-ASCII characters reads, as a whole, as UTF-8 seen through one of the encodings."""
+    return run[0] in _LEADS and _COVERED.fullmatch(run) is not None
 
 
 def _reread(run: str, wrong: str, right: str) -> str:
@@ -234,7 +241,7 @@ class Judge:
     def restore(self, text: str) -> tuple[bool, str, list[str]]:
         """(garbled, text turned back, encodings) of a whole text."""
         how: set[str] = set()
-        if is_suspect(text):
+        if _ODD.search(text):
             first, how = self._pass(text, frozenset())
             shown = frozenset(n for h in how for n in h.split()) - self.learned - {*ASSUME}
             if shown & {*SINGLE}:  # what long stretches prove holds for the short ones of the same text
@@ -251,7 +258,7 @@ class Judge:
         out, at, how = [], 0, set()
         for m in _RUN.finditer(text):
             run = m[0]
-            if not _SUSPECT.search(run):
+            if not _ODD.search(run) or not _SUSPECT.search(run):
                 continue
             key = (run, text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1], shown)
             if key not in self.memo:
@@ -265,11 +272,10 @@ class Judge:
         return "".join(out) + text[at:], how
 
 
-def _natural(text: str, covered: re.Pattern) -> list[str]:
-    """The stretches of non-ASCII characters that are not suspicious as a whole; none where those are most of the text's."""
-    runs = _RUN.findall(text)
-    plain = [r for r in runs if not covered.search(r)]
-    return plain if 2 * len(plain) >= len(runs) else []
+def _natural(runs: set[str]) -> set[str]:
+    """The stretches that are not suspicious; none where those are most of a text's."""
+    plain = {r for r in runs if not suspicious(r)}
+    return plain if 2 * len(plain) >= len(runs) else set()
 
 
 def _proven(run: str) -> str | None:
@@ -282,40 +288,63 @@ def _proven(run: str) -> str | None:
     return None
 
 
-def inventory(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(seen, n): in how many documents each non-ASCII character, and each pair of 8-bit letters, occurs outside suspicious stretches;
-    as `!name`, the documents in which a stretch proves an encoding by itself."""
+def _features(line: str, dirty: bool) -> int | None:
+    """The key of a line: what is left without its non-ASCII stretches, and their lengths in bytes; None for lines too poor in features."""
+    import xxhash
+
+    runs, rest = _RUN.findall(line), _RUN.sub("\x01", line)
+    if len(runs) < 4 and sum(c.isalpha() for c in rest) < 8:
+        return None
+    sizes = ",".join(str(len(r) if dirty else len(r.encode())) for r in runs)
+    return xxhash.xxh64_intdigest(f"{rest}\x00{sizes}".encode("utf-8", "surrogatepass"))
+
+
+def _lines(text: str) -> Iterator[tuple[str, bool, int]]:
+    """(line, suspicious, key) of the lines of a text that can meet a twin."""
+    for line in text.split("\n"):
+        if not line.isascii():
+            dirty = any(map(suspicious, _RUN.findall(line)))
+            if (key := _features(line, dirty)) is not None:
+                yield line, dirty, key
+
+
+def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+    """(seen, n, mask): in how many documents each non-ASCII character, and each pair of 8-bit letters, occurs outside suspicious
+    stretches; as `!name`, the documents in which a stretch proves an encoding by itself; as `#i`, word i of a bit filter of the
+    keys of garbled lines. Summed per task first; 2 ** filter_bits / 64 words at most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
-        unsafe = re.compile(SUSPICIOUS)
+        bits = np.zeros(1 << (filter_bits - 6), np.uint64)
         for batch in batches:
             for t in batch.column(0):
                 t = t.as_py()
                 if t and not t.isascii():
-                    runs = set(_natural(t, unsafe))
-                    n.update({f"!{name}" for r in set(_RUN.findall(t)) - runs if len(r) > 11 and unsafe.search(r) and (name := _proven(r))})
+                    every = set(_RUN.findall(t))
+                    runs = _natural(every)
                     n.update({c for r in runs for c in r})
                     n.update({r[i : i + 2] for r in runs for i in range(len(r) - 1) if r[i] in _LETTERS and r[i + 1] in _LETTERS})
-        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["seen", "n"])
-
-    counts = documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "seen string, n long")
-    return counts.groupBy("seen").agg(F.sum("n").alias("n"))
-
-
-def _lines(documents: DataFrame, text: str) -> DataFrame:
-    lines = documents.select(F.explode(F.split(F.col(text).cast("string"), "\n")).alias("line")).where(F.col("line").rlike(r"[^\x00-\x7F]"))
-    return lines.withColumn("dirty", F.col("line").rlike(SUSPICIOUS)).distinct()
-
+                    if bad := {r for r in every - runs if suspicious(r)}:
+                        n.update({f"!{name}" for r in bad if len(r) > 11 and (name := _proven(r))})
+                        for _, dirty, key in _lines(t):
+                            if dirty:
+                                bits[(key >> 6) % len(bits)] |= np.uint64(1 << (key & 63))
+        words = np.flatnonzero(bits)
+        seen, counts = [*n, *[f"#{i}" for i in words]], [*n.values(), *[0] * len(words)]
+        masks = [*[0] * len(n), *bits[words].astype(np.int64).tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array(counts, pa.int64()), pa.array(masks, pa.int64())], names=["seen", "n", "mask"])
 
-def _stretches(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(r"([^\x00-\x7F]+)"), F.lit(1))
+    counts = documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "seen string, n long, mask long")
+    return counts.groupBy("seen").agg(F.sum("n").alias("n"), F.bit_or("mask").alias("mask"))
 
 
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
         for garbled, clean in zip(b["garbled"], b["clean"], strict=True):
+            if _RUN.sub("\x01", garbled) != _RUN.sub("\x01", clean):
+                continue
             pairs = list(zip(_RUN.findall(garbled), _RUN.findall(clean), strict=True))
             for name, table in TABLES.items():
                 if all(g == c or bytes(table.get(x, 0) for x in g) == c.encode() for g, c in pairs) and any(g != c for g, c in pairs):
@@ -328,24 +357,41 @@ def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["name", "line", "seen", "original"])
 
 
-def learn(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(name, seen, original, support): mappings inferred from near-twins, with the number of garbled lines behind each."""
-    lines = cut(_lines(documents, text))
-    spans = _stretches(F.col("line"))
-    rest = F.regexp_replace("line", r"[^\x00-\x7F]+", "\u0001")
-    rich = (F.length(F.regexp_replace(rest, "[^A-Za-z]", "")) >= 8) | (F.size(spans) >= 4)
-    garbled = lines.where(F.col("dirty") & rich).select(F.xxhash64(rest, F.transform(spans, F.length)).alias("key"), F.col("line").alias("garbled"))
-    clean = lines.where(~F.col("dirty") & rich).select(F.xxhash64(rest, F.transform(spans, F.octet_length)).alias("key"), F.col("line").alias("clean"), rest.alias("rest"))
-    pairs = garbled.join(clean, "key").where(F.regexp_replace("garbled", r"[^\x00-\x7F]+", "\u0001") == F.col("rest")).select("garbled", "clean")
+def learn(documents: DataFrame, text: str = "text", found: list | None = None, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """(name, seen, original, support): mappings inferred from near-twins, with the number of garbled lines behind each.
+
+    Only garbled lines, and clean lines whose key the filter of `survey` (its rows: found) may hold, are shuffled.
+    """
+    found = survey(documents, text, filter_bits).where("seen like '#%'").collect() if found is None else found
+    bits = np.zeros(1 << (filter_bits - 6), np.int64)
+    for r in found:
+        if r.seen[0] == "#" and len(r.seen) > 1:
+            bits[int(r.seen[1:])] = r.mask
+    shared = documents.sparkSession.sparkContext.broadcast(bits)  # 2 ** filter_bits / 8 bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value.view(np.uint64)
+        for batch in batches:
+            rows = set()
+            for t in batch.column(0):
+                t = t.as_py()
+                if t and not t.isascii():
+                    rows |= {(k, line, dirty) for line, dirty, k in _lines(t) if dirty or int(held[(k >> 6) % len(held)]) >> (k & 63) & 1}
+            keys, lines, dirt = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array([k - (1 << 64) if k >> 63 else k for k in keys], pa.int64()), pa.array(lines, pa.string()), pa.array(dirt, pa.bool_())], names=["key", "line", "dirty"])
+
+    lines = cut(documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "key long, line string, dirty boolean").distinct())
+    garbled, clean = lines.where("dirty").select("key", F.col("line").alias("garbled")), lines.where("not dirty").select("key", F.col("line").alias("clean"))
+    pairs = garbled.join(clean, "key").select("garbled", "clean")
     return pairs.mapInPandas(_align, "name string, line string, seen string, original string").groupBy("name", "seen", "original").agg(F.count_distinct("line").alias("support"))
 
 
 def restored(documents: DataFrame, key: str = "doc_id", text: str = "text", least_support: int = 1) -> DataFrame:
     """(key, original, encodings) of the garbled documents: the text as far as it can be had back, and what it was read with."""
-    support = learn(documents, text).groupBy("name").agg(F.max("support").alias("s")).collect()
-    learned = {r.name for r in support if r.s >= least_support}
-    counts = {r.seen: r.n for r in inventory(documents, text).collect()}
-    learned |= {k[1:] for k in counts if len(k) > 2}
+    found = survey(documents, text).collect()
+    support = learn(documents, text, found).groupBy("name").agg(F.max("support").alias("s")).collect()
+    counts = {r.seen: r.n for r in found if r.n}
+    learned = {r.name for r in support if r.s >= least_support} | {k[1:] for k in counts if len(k) > 2}
     frequency, pairs = {k: n for k, n in counts.items() if len(k) == 1}, {k: n for k, n in counts.items() if len(k) == 2}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
