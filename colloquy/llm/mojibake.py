@@ -392,10 +392,11 @@ def restored(documents: DataFrame, key: str = "doc_id", text: str = "text", leas
     support = learn(documents, text, found).groupBy("name").agg(F.max("support").alias("s")).collect()
     counts = {r.seen: r.n for r in found if r.n}
     learned = {r.name for r in support if r.s >= least_support} | {k[1:] for k in counts if len(k) > 2}
-    frequency, pairs = {k: n for k, n in counts.items() if len(k) == 1}, {k: n for k, n in counts.items() if len(k) == 2}
+    known = {k: n for k, n in counts.items() if len(k) == 1}, learned, {k: n for k, n in counts.items() if len(k) == 2}
+    shared = documents.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(frequency, learned, pairs)
+        judge = Judge(*shared.value)
         for batch in batches:
             keep, originals, names = [], [], []
             for i, t in enumerate(batch.column(1)):
