@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_PHRASES = 1_000
+
+
 def watch_url(url: Column, vid: Column, prefix: str) -> Column:
     """The url, else the prefix with the id; null where both are missing or empty."""
     filled = F.nullif(vid, F.lit(""))
@@ -29,8 +32,11 @@ def new_urls(found: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def query_matrix(languages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(language, phrase): every phrase in every language; both are short fixed lists."""
-    return F.broadcast(languages.select("language")).crossJoin(F.broadcast(phrases.select("phrase")))
+    """(language, phrase): every phrase in every language, by exploding the one list of phrases per language."""
+    every = phrases.agg(F.sort_array(F.collect_set("phrase")).alias("p")).first().p
+    if len(every) > MOST_PHRASES:
+        raise ValueError(f"more than {MOST_PHRASES} phrases")
+    return languages.select("language", F.explode(F.array(*map(F.lit, every)) if every else F.array().cast("array<string>")).alias("phrase"))
 
 
 def candidate_sources(query: str | None, sources: list[str], limit: int, cc_only: bool = False) -> list[str]:
