@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .config import Thresholds, WindowPlan
-from .functions import replies
+from .config import INDIC, Thresholds, WindowPlan
+from .functions import records, replies
 from .operators import coverage, gates, mining, ranges, segments, signal, state, stats, urls, votes, words
 from .operators.ordered import ratio
 from .runtime import table
@@ -458,6 +458,62 @@ def energy_filter(spark: SparkSession, d: str) -> DataFrame:
     return ranges.both_speak(p, "l", "r", 0.125).select("clip_id")
 
 
+# --- records ---
+
+_INDIC = ", ".join(f"('{c}', '{n}')" for c, n in INDIC.items())
+
+
+@query("language_names", f"""WITH l(code, name) AS (VALUES {_INDIC}) SELECT row_id, name AS language_name, coalesce(name IS NOT NULL, false) AS indic
+FROM videos LEFT JOIN l ON l.code = split_part(lower(trim(language)), '-', 1)""")
+def language_names(spark: SparkSession, d: str) -> DataFrame:
+    """Language names by code, and membership of the Indic dimension."""
+    code = F.col("language")
+    return table(spark, d, "videos").select("row_id", records.language_name(code).alias("language_name"), F.coalesce(gates.is_indic(code, F.lit(None).cast("string")), F.lit(False)).alias("indic"))
+
+
+@query("probe_tags", """SELECT row_id, array_to_string(CAST(json_extract(meta, '$.tags') AS VARCHAR[])[1:20], ' ') AS tags, len(CAST(json_extract(meta, '$.tags') AS VARCHAR[])) AS n_tags FROM videos WHERE json_valid(meta) AND meta LIKE '%"tags"%'""")
+def probe_tags(spark: SparkSession, d: str) -> DataFrame:
+    """The first 20 tags of the probe's record, where it parses."""
+    tags = replies.vote_of(F.col("meta"), "tags array<string>")["tags"]
+    rows = table(spark, d, "videos").select("row_id", tags.alias("t")).where("t is not null")
+    return rows.select("row_id", F.array_join(records.first_tags(F.col("t")), " ").alias("tags"), F.size("t").cast("long").alias("n_tags"))
+
+
+@query("failure_reasons", """SELECT stage, CASE WHEN error IS NULL THEN NULL WHEN stage IN ('probe', 'download', 'diarize', 'separate', 'emit') THEN concat(stage, '_failed') END AS reason,
+CASE WHEN contains(lower(error), 'sign in to confirm') AND contains(lower(error), 'bot') THEN 'wall' WHEN contains(lower(error), 'rate-limit') OR contains(lower(error), 'rate limited') THEN 'rate' END AS kind, count(*) AS n
+FROM (SELECT CASE event_id % 6 WHEN 0 THEN 'probe' WHEN 1 THEN 'download' WHEN 2 THEN 'diarize' WHEN 3 THEN 'separate' WHEN 4 THEN 'emit' ELSE 'other' END AS stage,
+ CASE event_type WHEN 'error' THEN 'HTTP 429 Rate-Limit' WHEN 'signup' THEN 'Sign in to confirm you are not a bot' WHEN 'view' THEN 'timed out' END AS error FROM events) e GROUP BY ALL""")
+def failure_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Errors of the stages as reasons, and what they say about the site's limits."""
+    stage = F.element_at(F.array(*map(F.lit, ["probe", "download", "diarize", "separate", "emit", "other"])), (F.col("event_id") % 6 + 1).cast("int"))
+    error = F.when(F.col("event_type") == "error", "HTTP 429 Rate-Limit").when(F.col("event_type") == "signup", "Sign in to confirm you are not a bot").when(F.col("event_type") == "view", "timed out")
+    rows = table(spark, d, "events").select(stage.alias("stage"), error.alias("error"))
+    return rows.groupBy("stage", gates.failure_reason(F.col("stage"), F.col("error")).alias("reason"), gates.back_off_kind(F.col("error")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("talkative_channel", f"""WITH {_S}, t AS (SELECT clip_id, speaker, sum(end_ms - start_ms) AS ms FROM s GROUP BY ALL), k AS (SELECT clip_id, list(ms ORDER BY speaker) AS m FROM t GROUP BY clip_id)
+SELECT clip_id, CASE WHEN len(m) = 2 AND m[1] < m[2] THEN 1 ELSE 0 END AS channel FROM k""")
+def talkative_channel(spark: SparkSession, d: str) -> DataFrame:
+    """The channel of the speaker with more talk time."""
+    shares = stats.talk_time(_segments(spark, d)).groupBy("clip_id").agg(F.map_from_entries(F.collect_list(F.struct("speaker", "talk_ms"))).alias("shares"))
+    return shares.select("clip_id", signal.talkative_channel(F.col("shares")).alias("channel"))
+
+
+@query("speech_ratio", f"WITH {_S}, t AS (SELECT clip_id, CAST(sum(end_ms - start_ms) AS BIGINT) AS ms, max(end_ms) + 500 AS total FROM s GROUP BY clip_id) SELECT clip_id, ms / total AS speech_ratio FROM t")
+def speech_ratio(spark: SparkSession, d: str) -> DataFrame:
+    segs = _segments(spark, d)
+    return signal.speech_ratio(segs.join(_totals(segs), "clip_id"), "total_ms")
+
+
+@query("suspect_language", r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), c AS (SELECT doc_id, len(regexp_extract_all(t, '[\x{0900}-\x{097F}]')) AS d, len(regexp_extract_all(t, '[\x{0980}-\x{0DFF}\x{0600}-\x{06FF}A-Za-z]')) AS o FROM t)
+SELECT doc_id, d + o >= 50 AND (CAST(d * 20000 + d + o AS BIGINT) // nullif(2 * (d + o), 0)) < 5000 AS suspect FROM c""")
+def suspect_language(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a transcript has enough letters and too few of the expected script."""
+    counts = words.script_counts(F.col("text"))
+    rows = table(spark, d, "documents").select("doc_id", F.create_map(F.lit("spk0"), F.struct(counts["n_letters"].alias("n_letters"), counts["devanagari_frac"].alias("devanagari_frac"))).alias("m"))
+    return rows.select("doc_id", words.suspect_language(F.col("m")).alias("suspect"))
+
+
 # --- incremental ---
 
 
