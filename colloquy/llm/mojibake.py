@@ -83,6 +83,7 @@ _COVERED = re.compile("|".join(f"(?:{_unit(n)})+" for n in SINGLE))
 _LEADS = {c for n in SINGLE for c, b in TABLES[n].items() if 0xC2 <= b <= 0xF4}
 _UNITS = {n: re.compile(_unit(n)) for n in SINGLE}
 _LENIENT = {n: re.compile(f"{_unit(n)}|{_class(TABLES[n], 0xE0, 0xEF)}{_class(TABLES[n], 0x80, 0xBF)}(?={_class(TABLES[n], 0xC2, 0xF4)}|$)") for n in SINGLE}
+_BROKEN = {n: re.compile(f"(?:{_class(TABLES[n], 0xF0, 0xF4)}{_class(TABLES[n], 0x80, 0xBF)}{{2}})+") for n in SINGLE}
 _OTHER = r"\ufffd\u1000-\u1fff\u2300-\u2dff\ua000-\uabff\u0080-\u009f"
 _SUSPECT = re.compile("|".join(map(_unit, SINGLE)) + f"|{_WIDE.pattern}|[{_OTHER}]")
 _ODD = re.compile("[" + "".join(f"\\u{ord(c):04x}" for c in sorted(_LEADS)) + _WIDE.pattern[1:-1] + _OTHER + "]")  # a quick look first
@@ -180,7 +181,7 @@ class Judge:
             return None
         return _RUN.sub(lambda m: _reread(m[0], *words[m[0]]) if m[0] in words else m[0], line), ", ".join(sorted({f"{a} for {b}" for a, b in words.values()}))
 
-    def _double(self, run: str, name: str) -> str | None:
+    def _double(self, run: str, name: str, shown: bool) -> str | None:
         if not _WIDE.search(run):
             return None
         got = b""
@@ -189,10 +190,10 @@ class Judge:
                 got += b"\xff" if c == LOST else c.encode(name)
             except UnicodeEncodeError:
                 return None
-        text = got.decode("utf-8", "replace")
+        text = re.sub(f"{LOST}+", LOST, got.decode("utf-8", "replace"))
         good = sum(c > "\x7f" and c != LOST and self.known(c) for c in text)
         bad = sum(c > "\x7f" and (c == LOST or not self.known(c)) for c in text)
-        return re.sub(f"{LOST}+", LOST, text) if good and good >= 1.5 * bad else None
+        return text if good and good >= (1.0 if shown else 1.5) * bad else None
 
     def _swapped(self, run: str) -> str | None:
         text = run.encode("utf-16-le", "surrogatepass").decode("utf-16-be", "surrogatepass")
@@ -228,7 +229,7 @@ class Judge:
                 break
         if best is None:
             for name in DOUBLE:
-                if (got := self._double(run, name)) is not None:
+                if (got := self._double(run, name, name in shown)) is not None:
                     score = self._plausible(run, got, True, before, after)
                     if score is not None and score > 0 and (best is None or score > best[0]):
                         best = (score, got, name)
@@ -236,6 +237,10 @@ class Judge:
                 gain = sum(self.weight(c) if c > "\x7f" else self.most for c in got) - sum(map(self.weight, run))
                 if all(map(self.known, got)) and all(c.isprintable() or c.isspace() for c in got) and gain > min(1.5, 0.4 * self.most) * len(run) and (best is None or gain / len(run) > best[0]):
                     best = (gain / len(run), got, "utf_16")
+        if best is None:
+            for name in SINGLE:  # characters that all lost a byte: affected, not to be had back
+                if (name in self.learned or name in ASSUME or name in shown) and _BROKEN[name].fullmatch(run):
+                    return LOST, name
         return best and best[1:]
 
     def restore(self, text: str) -> tuple[bool, str, list[str]]:
@@ -244,7 +249,7 @@ class Judge:
         if _ODD.search(text):
             first, how = self._pass(text, frozenset())
             shown = frozenset(n for h in how for n in h.split()) - self.learned - {*ASSUME}
-            if shown & {*SINGLE}:  # what long stretches prove holds for the short ones of the same text
+            if shown & {*SINGLE, *DOUBLE}:  # what long stretches prove holds for the short ones of the same text
                 first, how = self._pass(text, shown)
             text = first
         lines = text.split("\n")
@@ -412,3 +417,69 @@ def restored(documents: DataFrame, key: str = "doc_id", text: str = "text", leas
     rows = documents.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
     kind = rows.schema["k"].dataType.simpleString()
     return rows.mapInArrow(run, f"k {kind}, original string, encodings array<string>").withColumnRenamed("k", key)
+
+
+_WORDS = re.compile(r"[\w\ufffd\u200c\u0300-\u036f\u0900-\u0963\u0966-\u0d7f]+")
+
+
+def _words(text: str) -> set[str]:
+    """Words with a character beyond ASCII; U+FFFD and vowel signs belong to them."""
+    return {w for w in _WORDS.findall(text) if not w.isascii()}
+
+
+def _patterns(word: str) -> Iterator[str]:
+    """The word with one or two neighbouring characters, or two single ones, given as lost."""
+    n = len(word)
+    for i in range(n):
+        yield word[:i] + LOST + word[i + 1 :]
+        if i + 2 <= n:
+            yield word[:i] + LOST + word[i + 2 :]
+        for j in range(i + 2, n):
+            yield word[:i] + LOST + word[i + 1 : j] + LOST + word[j + 1 :]
+
+
+def _place(pattern: str, bits: int) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(pattern) % (1 << bits)
+
+
+def repair_lost(documents: DataFrame, turned: DataFrame, key: str = "doc_id", text: str = "text", share: float = 0.9, longest: int = 24, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of `restored` with lost characters filled in where clean words leave no doubt.
+
+    A word with one or two lost places meets the clean words that fit it; the one with `share` of their documents is taken.
+    A bit filter of the lost words keeps all other words out of the shuffle. Words over `longest` characters stay as they are.
+    """
+    rows = cut(turned.select(F.col(key).alias("k"), "original", "encodings"))
+    damaged = rows.where(F.contains("original", F.lit(LOST))).select("k", "original")
+
+    def lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, w) for i, t in enumerate(batch.column(1).to_pylist()) for w in _words(t) if 0 < w.count(LOST) <= 2 and 2 < len(w) <= longest]
+            words = [w for _, w in found]
+            at = [_place(w, filter_bits) for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i for i, _ in found], pa.int64())), pa.array(words, pa.string()), pa.array([p >> 6 for p in at], pa.int64()), pa.array([(1 << (p & 63)) - ((1 << 64) if p & 63 == 63 else 0) for p in at], pa.int64())], names=["k", "pattern", "word_no", "mask"])
+
+    kind = rows.schema["k"].dataType.simpleString()
+    wanted = cut(damaged.mapInArrow(lost, f"k {kind}, pattern string, word_no long, mask long"))
+    bits = np.zeros(1 << (filter_bits - 6), np.int64)
+    for r in wanted.groupBy("word_no").agg(F.bit_or("mask").alias("mask")).collect():  # 2 ** filter_bits / 64 rows at most
+        bits[r.word_no] = r.mask
+    shared = documents.sparkSession.sparkContext.broadcast(bits)
+
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, held = Counter(), shared.value.view(np.uint64)
+        for batch in batches:
+            for t in batch.column(0):
+                t = t.as_py()
+                if t and not t.isascii():
+                    n.update(w for w in _words(t) if LOST not in w and len(w) <= longest)
+        out = [(p, w, c) for w, c in n.items() for p in set(_patterns(w)) if int(held[(a := _place(p, filter_bits)) >> 6]) >> (a & 63) & 1]
+        cols = zip(*out, strict=True) if out else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["pattern", "word", "n"])
+
+    fits = documents.select(F.col(text).cast("string").alias("t")).mapInArrow(fitting, "pattern string, word string, n long").groupBy("pattern", "word").agg(F.sum("n").alias("n"))
+    sure = fits.groupBy("pattern").agg(F.max(F.struct("n", "word")).alias("b"), F.sum("n").alias("all")).where(F.col("b.n") >= share * F.col("all")).select("pattern", F.col("b.word").alias("word"))
+    fills = wanted.select("k", "pattern").distinct().join(sure, "pattern").groupBy("k").agg(F.sort_array(F.collect_list(F.struct((-F.length("pattern")).alias("short"), "pattern", "word"))).alias("fills"))
+    filled = F.aggregate("fills", F.col("original"), lambda t, f: F.replace(t, f["pattern"], f["word"]))
+    return rows.join(fills, "k", "left").select(F.col("k").alias(key), F.when(F.col("fills").isNull(), F.col("original")).otherwise(filled).alias("original"), "encodings")

@@ -146,4 +146,5 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p8_restored")
 def p8_restored(spark: SparkSession, d: str) -> DataFrame:
     """The affected documents with the original text as far as it can be had back."""
-    return mojibake.restored(table(spark, d, "documents"))
+    documents = table(spark, d, "documents")
+    return mojibake.repair_lost(documents, mojibake.restored(documents))

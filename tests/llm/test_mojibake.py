@@ -55,3 +55,19 @@ def test_learned_mappings(spark):
     rows = CLEAN + [seen_as(t, "cp1252") for t in CLEAN] + [seen_as(CLEAN[0], "mac_roman")]
     got = {(r.name, r.seen, r.original) for r in m.learn(frame(spark, rows)).collect()}
     assert ("cp1252", "Ã©", "é") in got and ("mac_roman", "√©", "é") in got and ("cp1252", "à¤š", "च") in got
+
+
+def test_lost_characters_are_filled_in(spark):
+    rows = [*CLEAN, CLEAN[0], "दुकान में चाय", "My café.", "A cliché, a clichy.", CLEAN[0].replace("é", "�") + " café", "da�s na�ve caf� x�", None, ""]
+    docs = frame(spark, rows)
+    turned = m.restored(docs)
+    got = {r.doc_id: r.original for r in m.repair_lost(docs, turned).collect()}
+    n = len(CLEAN)
+    assert set(got) == {n + 4, n + 5}
+    assert got[n + 4] == CLEAN[0] + " café" and got[n + 5] == "da�s naïve café x�"
+    assert m.repair_lost(docs.limit(0), turned.limit(0)).count() == 0
+
+
+def test_words_that_fit():
+    assert set(m._patterns("añb")) == {"�ñb", "�b", "a�b", "a�", "añ�", "�ñ�"}
+    assert m._words("caf� x9, नमस्ते। ok") == {"caf�", "नमस्ते"}
