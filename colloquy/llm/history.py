@@ -61,39 +61,58 @@ def _less_one(word: Column) -> Column:
 
 
 def word_keys(word: Column) -> Column:
-    """The word and the word with one letter left out; from four letters on also with two."""
+    """The word and the word with one letter left out; from five letters on also with two, as two edits need five letters."""
     one = _less_one(word)
-    two = F.when(F.length(word) >= 4, F.flatten(F.transform(one, _less_one)))
+    two = F.when(F.length(word) >= 5, F.flatten(F.transform(one, _less_one)))
     return F.array_distinct(F.concat(F.array(word), one, F.coalesce(two, F.array().cast("array<string>"))))
 
 
 class SpellingIndex:
-    """Known words with their reduced forms, filed under leave-out keys."""
+    """Known words with their reduced forms, and their leave-out keys, as sorted runs below `folder`; compacted now and then."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self.runs = spark, folder, 0
+    def __init__(self, spark: SparkSession, folder: str, compact_every: int = COMPACT_EVERY):
+        self.spark, self.folder, self.compact_every = spark, folder, compact_every
+        self.runs: list[int] = []
+        self.next_run = 0
+
+    def _read(self, what: str) -> DataFrame | None:
+        return self.spark.read.parquet(*[f"{self.folder}/{what}-{i}" for i in self.runs]) if self.runs else None
 
     def known(self) -> DataFrame | None:
-        return self.spark.read.parquet(*[f"{self.folder}/words-{i}" for i in range(self.runs)]) if self.runs else None
+        """(word, form) of all words so far."""
+        return self._read("words")
+
+    def _write(self, words: DataFrame, keys: DataFrame) -> int:
+        run, self.next_run = self.next_run, self.next_run + 1
+        words.write.parquet(f"{self.folder}/words-{run}")
+        keys.repartition("key").sortWithinPartitions("key").write.parquet(f"{self.folder}/keys-{run}")
+        return run
 
     def extend(self, words: DataFrame) -> None:
-        """File the new words of (word, n)."""
+        """File the new words of (word, n); a batch without new words leaves the index as it is."""
         old = self.known()
-        new = (words.join(old.select("word"), "word", "left_anti") if old is not None else words).select("word", "n")
-        new = cut(new)
+        new = cut((words.join(old.select("word"), "word", "left_anti") if old is not None else words).select("word", "n"))
+        if self.runs and not new.limit(1).count():
+            return
         filed = new.select("word", "n", F.explode(word_keys(F.col("word"))).alias("key"))
-        others = new.select(F.col("word").alias("other"), F.col("n").alias("m"), F.lit(None).cast("string").alias("form"), F.explode(word_keys(F.col("word"))).alias("key"))
+        others = filed.select("key", F.col("word").alias("other"), F.col("n").alias("m"), F.lit(None).cast("string").alias("form"))
         if old is not None:
-            others = others.unionByName(old.select(F.col("word").alias("other"), F.col("n").alias("m"), "form", F.explode(word_keys(F.col("word"))).alias("key")))
-        pairs = filed.join(others, "key").where("word <> other and (form is not null or m > n or (m = n and other < word))")
+            others = others.unionByName(self._read("keys"))
+        pairs = filed.join(others, "key").where("word <> other and (form is not null or m > n or (m = n and other < word)) and levenshtein(word, other, 4) >= 0")
         near = pairs.select("word", "other", "m", "form").distinct().mapInPandas(_near, "word string, other string, m long, form string, d int")
         best = near.groupBy("word").agg(F.min(F.struct("d", F.isnull("form").alias("unfiled"), (-F.col("m")).alias("rare"), "other", "form")).alias("b"))
         links = cut(new.join(best, "word", "left").select("word", "n", F.coalesce("b.form", "b.other", "word").alias("form"), F.coalesce(F.col("b.unfiled"), F.lit(False)).alias("open")))
         while links.where("open").limit(1).count():  # links lead to more frequent or earlier words only, so this ends
             onward = links.select(F.col("word").alias("form"), F.col("form").alias("next"), F.col("open").alias("more"))
             links = cut(links.join(onward, "form", "left").select("word", "n", F.when(F.col("open"), F.coalesce("next", "form")).otherwise(F.col("form")).alias("form"), (F.col("open") & F.coalesce("more", F.lit(False))).alias("open")))
-        links.select("word", "n", "form").write.parquet(f"{self.folder}/words-{self.runs}")
-        self.runs += 1
+        keys = links.select(F.explode(word_keys(F.col("word"))).alias("key"), F.col("word").alias("other"), F.col("n").alias("m"), "form")
+        self.runs.append(self._write(links.select("word", "form"), keys))
+        if len(self.runs) >= self.compact_every:
+            done = self.runs
+            self.runs = [self._write(self.known(), self._read("keys"))]
+            for r in done:
+                delete_path(self.spark, f"{self.folder}/words-{r}")
+                delete_path(self.spark, f"{self.folder}/keys-{r}")
 
 
 class HistoryIndex:
@@ -102,7 +121,7 @@ class HistoryIndex:
     def __init__(self, spark: SparkSession, folder: str | None = None, ranges: int = RANGES, compact_every: int = COMPACT_EVERY):
         self.spark, self.folder = spark, folder or shared_path(spark, "history")
         self.ranges, self.compact_every = ranges, compact_every
-        self.spelling = SpellingIndex(spark, self.folder)
+        self.spelling = SpellingIndex(spark, self.folder, compact_every)
         self.bounds: list[str] | None = None
         self.runs: list[int] = []
         self.next_run = 0
