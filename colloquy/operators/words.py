@@ -1,35 +1,43 @@
 """Word timing repair and text diagnostics. Words are rows (clip_id, channel, idx, word, start_ms, end_ms); times may be null.
 
-A channel of one transcript is the unit of order here; its length is that of one text.
+A channel of an endless clip may hold any number of words, so neighbours and positions come from block-wise scans over idx.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import blocked, ratio, scan
+
 CHANNEL = ["clip_id", "channel"]
+WORD = [*CHANNEL, "idx", "word", "start_ms", "end_ms"]
+BLOCK_WORDS = 20_000
+
+
+def _in_order(words: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    return blocked(words, CHANNEL, "idx", block)
 
 
 def interpolate_words(words: DataFrame, totals: DataFrame) -> DataFrame:
     """Words without times are spread evenly from the end of the last placed word (0) to the start of the next (the clip's total_ms); flagged approx."""
-    order = Window.partitionBy(*CHANNEL).orderBy("idx")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    rows = words.join(totals, "clip_id").withColumn("t0", F.coalesce(F.last("end_ms", True).over(before), F.lit(0))).withColumn("next", F.coalesce(F.first("start_ms", True).over(after), F.col("total_ms")))
-    rows = rows.withColumn("t1", F.greatest("t0", "next")).withColumn("island", F.count("start_ms").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("open", F.col("start_ms").isNull())
-    isle = Window.partitionBy(*CHANNEL, "island", "open")
-    k, n = F.row_number().over(isle.orderBy("idx")) - 1, F.count("*").over(isle)
-    rows = rows.withColumn("k", k).withColumn("n", n)
-    place = lambda i: (F.col("t0") + F.floor((2 * i * (F.col("t1") - F.col("t0")) + F.col("n")) / (2 * F.col("n")))).cast("long")
+    rows = scan(_in_order(words.select(*WORD)), CHANNEL, ["idx"], sums={"pos": F.lit(1)})
+    counts = words.groupBy(*CHANNEL).agg(F.count("*").alias("n_all")).join(totals.select("clip_id", "total_ms"), "clip_id")
+    placed = F.col("start_ms").isNotNull()
+    rows = scan(rows, CHANNEL, ["idx"], maxima={"before": F.when(placed, F.struct("pos", "end_ms"))}, minima={"after": F.when(placed, F.struct("pos", "start_ms"))}).join(counts, CHANNEL)
+    first, t0 = F.coalesce("before.pos", F.lit(0)) + 1, F.coalesce("before.end_ms", F.lit(0))
+    n = F.coalesce("after.pos", F.col("n_all") + 1) - first
+    rows = rows.withColumns({"open": ~placed, "t0": t0, "len": F.greatest(t0, F.coalesce("after.start_ms", F.col("total_ms"))) - t0, "k": F.col("pos") - first, "n": n})
+    place = lambda i: (F.col("t0") + F.call_function("div", 2 * i * F.col("len") + F.col("n"), 2 * F.col("n"))).cast("long")
     return rows.select(*CHANNEL, "idx", "word", F.when(F.col("open"), place(F.col("k"))).otherwise(F.col("start_ms")).alias("start_ms"), F.when(F.col("open"), place(F.col("k") + 1)).otherwise(F.col("end_ms")).alias("end_ms"), F.col("open").alias("approx"))
 
 
 def extend_word_ends(words: DataFrame, totals: DataFrame, fill_ms: int = 250, tail_ms: int = 100) -> DataFrame:
     """Ends move towards the next word's start (the clip's total_ms after the last): all the way over gaps up to fill_ms, else by tail_ms; approx words stay."""
-    order = Window.partitionBy(*CHANNEL).orderBy("idx")
-    rows = words.join(totals, "clip_id").withColumn("nxt", F.coalesce(F.lead("start_ms").over(order), F.col("total_ms")))
-    gap = F.col("nxt") - F.col("end_ms")
-    end = F.when(F.col("approx") | (gap <= 0), F.col("end_ms")).when(gap <= fill_ms, F.col("nxt")).otherwise(F.least(F.col("end_ms") + tail_ms, F.col("nxt")))
+    rows = scan(_in_order(words.select(*WORD, "approx")), CHANNEL, ["idx"], fields=["start_ms"], nxt="later").join(totals.select("clip_id", "total_ms"), "clip_id")
+    nxt = F.coalesce("later.start_ms", F.col("total_ms"))
+    gap = nxt - F.col("end_ms")
+    end = F.when(F.col("approx") | (gap <= 0), F.col("end_ms")).when(gap <= fill_ms, nxt).otherwise(F.least(F.col("end_ms") + tail_ms, nxt))
     return rows.select(*CHANNEL, "idx", "word", "start_ms", end.alias("end_ms"), "approx")
 
 
@@ -65,8 +73,6 @@ def script_counts(text: Column) -> dict[str, Column]:
     """Letters of Devanagari, of other scripts and in all, and Devanagari's share to four places (null without letters)."""
     text = F.coalesce(text, F.lit(""))
     deva, other = F.regexp_count(text, F.lit("[\\u0900-\\u097F]")), F.regexp_count(text, F.lit("[\\u0980-\\u0DFF\\u0600-\\u06FFA-Za-z]"))
-    from .ordered import ratio
-
     return {"devanagari": deva, "other_letters": other, "n_letters": deva + other, "devanagari_frac": ratio(deva.cast("long"), (deva + other).cast("long"), 4)}
 
 
