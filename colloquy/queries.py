@@ -12,7 +12,7 @@ from .config import INDIC, Thresholds, WindowPlan
 from .functions import records, replies
 from .operators import coverage, gates, mining, ranges, segments, signal, state, stats, urls, votes, words
 from .operators.ordered import ratio
-from .runtime import table
+from .runtime import shared_path, table
 from .sources import sinks
 from .streaming import incremental
 
@@ -528,13 +528,25 @@ def backoff_replay(spark: SparkSession, d: str) -> DataFrame:
     return incremental.replay_backoff(hits).select("key", "kind", "streak", "pause", F.round(F.col("until") * 1000).cast("long").alias("until_ms"))
 
 
-@query("sessions", """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS o FROM events), g AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM e)
-SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 1800000000 AS end_us, count(*) AS n FROM g GROUP BY user_id, s""")
+_SESSIONS = """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS o FROM events), g AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM e)
+SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 1800000000 AS end_us, count(*) AS n FROM g GROUP BY user_id, s"""
+
+
+@query("sessions", _SESSIONS)
 def sessions(spark: SparkSession, d: str) -> DataFrame:
     rows = incremental.sessions(table(spark, d, "events"), "user_id", "ts", "30 minutes")
     return rows.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
 
 
+@query("stream_sessions", _SESSIONS)
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """The same by a stream over the folder's files, run to its end."""
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    rows = incremental.complete_to(incremental.sessions(stream, "user_id", "ts", "30 minutes"), shared_path(spark, "sessions"), shared_path(spark, "checkpoint"))
+    return rows.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+
+
 @query("curate_light_heavy", f"""WITH {_V}, a AS (SELECT clip_id, count(*) AS n, CAST(floor(median(num_speakers)) AS INT) AS ns FROM v GROUP BY clip_id)
 SELECT CASE WHEN ns < 2 THEN 'few' ELSE 'enough' END AS outcome, count(*) AS n FROM a WHERE n >= 2 GROUP BY 1""")
 def curate_light_heavy(spark: SparkSession, d: str) -> DataFrame:

@@ -46,6 +46,13 @@ def catch_up(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoi
     writer.start().awaitTermination()
 
 
+def complete_to(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run a streaming aggregate over all that has arrived; its complete result, as a table at path."""
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(path)
+    result.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return result.sparkSession.read.parquet(path)
+
+
 def sessions(events: DataFrame, key: str, ts: str, gap: str, late: str | None = None) -> DataFrame:
     """(key, start, end, n): sessions of events no further apart than gap; with late, a watermark for streams. Plain timestamps are read as UTC."""
     rows = events.select(F.col(key), F.col(ts).cast("timestamp").alias("ts"))
