@@ -102,3 +102,9 @@ def test_words_in_turns_and_windows(spark):
     segs = spark.createDataFrame([("c", 0, "A", 0, 5000), ("c", 1, "B", 900, 2000), ("c", 2, "C", 1000, 1500), ("c", 3, "A", 3000, 9000)], "clip_id string, seg_idx int, speaker string, start_ms long, end_ms long")
     wins = spark.createDataFrame([("c", 7, 1000, 4000, ["A", "B"])], "clip_id string, win int, t0 long, t1 long, pair array<string>")
     assert {tuple(r)[1:] for r in segments.clip_to_windows(segs, wins, 1000).collect()} == {(7, 0, "A", 0, 3000), (7, 1, "B", 0, 1000), (7, 3, "A", 2000, 3000)}
+
+
+def test_blocks_leave_out_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), ("a", None), ("a", 5), ("a", 900)], "k string, t long")
+    rows = scan(blocked(df, ["k"], "t", 100), ["k"], ["t"], sums={"n": F.lit(1)}, minima={"after": F.col("t")}).orderBy("t").collect()
+    assert [(r.k, r.t, r.n, r.after) for r in rows] == [("a", 5, 1, 900), ("a", 900, 2, None)]
