@@ -26,24 +26,29 @@ def blocked(df: DataFrame, by: list[str], t: str, block_ms: int = BLOCK_MS) -> D
     return present.withColumns({**keys, "block": block}).repartition(*by, "block")
 
 
-def scan(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column] | None = None, fields: list[str] | None = None, prev: str | None = None, nxt: str | None = None, maxima: dict[str, Column] | None = None, minima: dict[str, Column] | None = None) -> DataFrame:
+def scan(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column] | None = None, fields: list[str] | None = None, prev: str | None = None, nxt: str | None = None, maxima: dict[str, Column] | None = None, minima: dict[str, Column] | None = None, wholes: dict[str, Column] | None = None, extra: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
     """One pass in each key's order over blocked rows (order[0] is the time that fixes the block). Adds
 
     sums: inclusive running sums of integer values; maxima: maxima over the rows before; minima: minima over the rows after; prev,
-    nxt: structs of the order and fields of the neighbouring rows, null at the ends. Values are expressions over the row alone.
+    nxt: structs of the order and fields of the neighbouring rows, null at the ends; wholes: sums over the whole key; extra: columns
+    of a table with one row per key (or part of it), joined by the listed columns. Values are expressions over the row alone.
     """
-    sums, maxima, minima = sums or {}, maxima or {}, minima or {}
+    sums, maxima, minima, wholes = sums or {}, maxima or {}, minima or {}, wholes or {}
     row = F.struct(*order, *[f for f in fields or [] if f not in order])
     inside = Window.partitionBy(*by, "block").orderBy(*order)
     upto, before, after = (inside.rowsBetween(a, b) for a, b in ((Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)))
     along = Window.partitionBy(*by).orderBy("block")
     earlier, later = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
     totals = [F.sum(v).alias(f"__s_{n}") for n, v in sums.items()] + [F.max(v).alias(f"__m_{n}") for n, v in maxima.items()] + [F.min(v).alias(f"__n_{n}") for n, v in minima.items()]
+    totals += [F.sum(v).alias(f"__w_{n}") for n, v in wholes.items()]
     totals += [F.max(row).alias("__last")] * bool(prev) + [F.min(row).alias("__first")] * bool(nxt)
     edge = [F.coalesce(F.sum(f"__s_{n}").over(earlier), F.lit(0)).alias(f"__s_{n}") for n in sums] + [F.max(f"__m_{n}").over(earlier).alias(f"__m_{n}") for n in maxima] + [F.min(f"__n_{n}").over(later).alias(f"__n_{n}") for n in minima]
+    edge += [F.sum(f"__w_{n}").over(Window.partitionBy(*by)).alias(n) for n in wholes]
     edge += [F.lag("__last").over(along).alias("__last")] * bool(prev) + [F.lead("__first").over(along).alias("__first")] * bool(nxt)
     totals.append(F.max(order[0]).alias("__at"))  # reads the time too, so that both sides of the join may share one exchange
     carried = df.groupBy(*by, "block").agg(*totals).where("__at is not null").select(*by, "block", *edge)
+    if extra:
+        carried = carried.join(extra[0], extra[1])
     new = {n: F.col(f"__s_{n}") + F.sum(v).over(upto) for n, v in sums.items()} | {n: F.greatest(F.col(f"__m_{n}"), F.max(v).over(before)) for n, v in maxima.items()}
     new |= {n: F.least(F.col(f"__n_{n}"), F.min(v).over(after)) for n, v in minima.items()}
     if prev:

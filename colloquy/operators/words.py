@@ -13,32 +13,46 @@ from .ordered import blocked, ratio, scan
 CHANNEL = ["clip_id", "channel"]
 WORD = [*CHANNEL, "idx", "word", "start_ms", "end_ms"]
 BLOCK_WORDS = 20_000
+FILL_MS, TAIL_MS = 250, 100
 
 
-def _in_order(words: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    return blocked(words, CHANNEL, "idx", block)
+def _in_order(words: DataFrame, *more: str) -> DataFrame:
+    return blocked(words.select(*WORD, *more), CHANNEL, "idx", BLOCK_WORDS)
 
 
-def interpolate_words(words: DataFrame, totals: DataFrame) -> DataFrame:
-    """Words without times are spread evenly from the end of the last placed word (0) to the start of the next (the clip's total_ms); flagged approx."""
-    rows = scan(_in_order(words.select(*WORD)), CHANNEL, ["idx"], sums={"pos": F.lit(1)})
-    counts = words.groupBy(*CHANNEL).agg(F.count("*").alias("n_all")).join(totals.select("clip_id", "total_ms"), "clip_id")
-    placed = F.col("start_ms").isNotNull()
-    rows = scan(rows, CHANNEL, ["idx"], maxima={"before": F.when(placed, F.struct("pos", "end_ms"))}, minima={"after": F.when(placed, F.struct("pos", "start_ms"))}).join(counts, CHANNEL)
+def _interpolate(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    placed, extra = F.col("start_ms").isNotNull(), (totals.select("clip_id", "total_ms"), ["clip_id"])
+    rows = scan(rows, CHANNEL, ["idx"], sums={"pos": F.lit(1)})
+    rows = scan(rows, CHANNEL, ["idx"], maxima={"before": F.when(placed, F.struct("pos", "end_ms"))}, minima={"after": F.when(placed, F.struct("pos", "start_ms"))}, wholes={"n_all": F.lit(1)}, extra=extra)
     first, t0 = F.coalesce("before.pos", F.lit(0)) + 1, F.coalesce("before.end_ms", F.lit(0))
     n = F.coalesce("after.pos", F.col("n_all") + 1) - first
     rows = rows.withColumns({"open": ~placed, "t0": t0, "len": F.greatest(t0, F.coalesce("after.start_ms", F.col("total_ms"))) - t0, "k": F.col("pos") - first, "n": n})
     place = lambda i: (F.col("t0") + F.call_function("div", 2 * i * F.col("len") + F.col("n"), 2 * F.col("n"))).cast("long")
-    return rows.select(*CHANNEL, "idx", "word", F.when(F.col("open"), place(F.col("k"))).otherwise(F.col("start_ms")).alias("start_ms"), F.when(F.col("open"), place(F.col("k") + 1)).otherwise(F.col("end_ms")).alias("end_ms"), F.col("open").alias("approx"))
+    at = lambda c, i: F.when(F.col("open"), place(i)).otherwise(F.col(c)).alias(c)
+    return rows.select(*CHANNEL, "idx", "word", at("start_ms", F.col("k")), at("end_ms", F.col("k") + 1), F.col("open").alias("approx"), "block")
 
 
-def extend_word_ends(words: DataFrame, totals: DataFrame, fill_ms: int = 250, tail_ms: int = 100) -> DataFrame:
-    """Ends move towards the next word's start (the clip's total_ms after the last): all the way over gaps up to fill_ms, else by tail_ms; approx words stay."""
-    rows = scan(_in_order(words.select(*WORD, "approx")), CHANNEL, ["idx"], fields=["start_ms"], nxt="later").join(totals.select("clip_id", "total_ms"), "clip_id")
+def _extend(rows: DataFrame, totals: DataFrame, fill_ms: int, tail_ms: int) -> DataFrame:
+    rows = scan(rows, CHANNEL, ["idx"], fields=["start_ms"], nxt="later", extra=(totals.select("clip_id", "total_ms"), ["clip_id"]))
     nxt = F.coalesce("later.start_ms", F.col("total_ms"))
     gap = nxt - F.col("end_ms")
     end = F.when(F.col("approx") | (gap <= 0), F.col("end_ms")).when(gap <= fill_ms, nxt).otherwise(F.least(F.col("end_ms") + tail_ms, nxt))
-    return rows.select(*CHANNEL, "idx", "word", "start_ms", end.alias("end_ms"), "approx")
+    return rows.select(*CHANNEL, "idx", "word", "start_ms", end.alias("end_ms"), "approx", "block")
+
+
+def interpolate_words(words: DataFrame, totals: DataFrame) -> DataFrame:
+    """Words without times are spread evenly from the end of the last placed word (0) to the start of the next (the clip's total_ms); flagged approx."""
+    return _interpolate(_in_order(words), totals).drop("block")
+
+
+def extend_word_ends(words: DataFrame, totals: DataFrame, fill_ms: int = FILL_MS, tail_ms: int = TAIL_MS) -> DataFrame:
+    """Ends move towards the next word's start (the clip's total_ms after the last): all the way over gaps up to fill_ms, else by tail_ms; approx words stay."""
+    return _extend(_in_order(words, "approx"), totals, fill_ms, tail_ms).drop("block")
+
+
+def repair_words(words: DataFrame, totals: DataFrame, fill_ms: int = FILL_MS, tail_ms: int = TAIL_MS) -> DataFrame:
+    """Both in one partitioning: unplaced words interpolated, then ends extended."""
+    return _extend(_interpolate(_in_order(words), totals), totals, fill_ms, tail_ms).drop("block")
 
 
 def even_timestamps(df: DataFrame, words: str = "words", total: str = "total_ms") -> DataFrame:

@@ -29,7 +29,7 @@ def curate(videos: DataFrame, vote_rows: DataFrame, segment_rows: DataFrame, th:
 
 def assemble_transcripts(word_rows: DataFrame, turns: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(words with repaired times, turns with their text)."""
-    placed = words.extend_word_ends(words.interpolate_words(word_rows, totals), totals)
+    placed = words.repair_words(word_rows, totals)
     return placed, segments.words_in_turns(placed, turns)
 
 

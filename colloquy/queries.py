@@ -309,8 +309,7 @@ def interpolate_words(spark: SparkSession, d: str) -> DataFrame:
 @query("extend_word_ends", f"""WITH {_INTER}, e AS (SELECT inter.*, coalesce(lead(start_ms) OVER (PARTITION BY clip_id, channel ORDER BY idx), total_ms) AS nx FROM inter JOIN totals USING (clip_id))
 SELECT clip_id, channel, idx, word, start_ms, CASE WHEN approx OR nx - end_ms <= 0 THEN end_ms WHEN nx - end_ms <= 250 THEN nx ELSE least(end_ms + 100, nx) END AS end_ms, approx FROM e""")
 def extend_word_ends(spark: SparkSession, d: str) -> DataFrame:
-    w, totals = _words(spark, d)
-    return words.extend_word_ends(words.interpolate_words(w, totals), totals)
+    return words.repair_words(*_words(spark, d))
 
 
 @query("turns_text", f"""WITH {_W}, turns AS ({fx.TURNS}) SELECT t.clip_id, t.channel, t.seg_idx, string_agg(w.word, ' ' ORDER BY w.start_ms, w.idx) AS text, count(*) AS n_words
