@@ -88,6 +88,14 @@ class SpellingIndex:
         keys.repartition("key").sortWithinPartitions("key").write.parquet(f"{self.folder}/keys-{run}")
         return run
 
+    def _settle(self, links: DataFrame) -> DataFrame:
+        """(word, n, form): links that lead to other new words are followed to the end. They lead to more frequent or earlier words only, so this ends."""
+        links = cut(links)
+        while links.where("open").limit(1).count():
+            onward = links.select(F.col("word").alias("form"), F.col("form").alias("next"), F.col("open").alias("more"))
+            links = cut(links.join(onward, "form", "left").select("word", "n", F.when(F.col("open"), F.coalesce("next", "form")).otherwise(F.col("form")).alias("form"), (F.col("open") & F.coalesce("more", F.lit(False))).alias("open")))
+        return links.select("word", "n", "form")
+
     def extend(self, words: DataFrame) -> None:
         """File the new words of (word, n); a batch without new words leaves the index as it is."""
         old = self.known()
@@ -101,10 +109,7 @@ class SpellingIndex:
         pairs = filed.join(others, "key").where("word <> other and (form is not null or m > n or (m = n and other < word)) and levenshtein(word, other, 4) >= 0")
         near = pairs.select("word", "other", "m", "form").distinct().mapInPandas(_near, "word string, other string, m long, form string, d int")
         best = near.groupBy("word").agg(F.min(F.struct("d", F.isnull("form").alias("unfiled"), (-F.col("m")).alias("rare"), "other", "form")).alias("b"))
-        links = cut(new.join(best, "word", "left").select("word", "n", F.coalesce("b.form", "b.other", "word").alias("form"), F.coalesce(F.col("b.unfiled"), F.lit(False)).alias("open")))
-        while links.where("open").limit(1).count():  # links lead to more frequent or earlier words only, so this ends
-            onward = links.select(F.col("word").alias("form"), F.col("form").alias("next"), F.col("open").alias("more"))
-            links = cut(links.join(onward, "form", "left").select("word", "n", F.when(F.col("open"), F.coalesce("next", "form")).otherwise(F.col("form")).alias("form"), (F.col("open") & F.coalesce("more", F.lit(False))).alias("open")))
+        links = self._settle(new.join(best, "word", "left").select("word", "n", F.coalesce("b.form", "b.other", "word").alias("form"), F.coalesce(F.col("b.unfiled"), F.lit(False)).alias("open")))
         keys = links.select(F.explode(word_keys(F.col("word"))).alias("key"), F.col("word").alias("other"), F.col("n").alias("m"), "form")
         self.runs.append(self._write(links.select("word", "form"), keys))
         if len(self.runs) >= self.compact_every:
