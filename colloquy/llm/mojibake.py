@@ -1,15 +1,19 @@
 """Problem 8: text decoded with a wrong encoding: learned from near-twins, applied to every document.
 
 1. Inventory. Every document counts its different characters outside stretches that read as a byte pattern (document frequencies).
-2. Twins. Lines are stripped of their non-ASCII characters; what is left, with the byte length of each stretch left out, is the
-   key on which garbled lines meet clean ones (a garbled stretch has one character a byte, a clean one is UTF-8). Lines too
-   poor in such features are not used. Both sides are made distinct first, so copies never multiply; a bit filter of the garbled
-   lines' keys keeps clean lines without a partner out of the shuffle.
+2. Twins. Lines are stripped of their non-ASCII characters; what is left, with the byte length of each stretch left out and the
+   order in which its bytes recur, is the key on which garbled lines meet clean ones (a garbled stretch has one character a byte,
+   a clean one is UTF-8). No table is needed for that: any line may be the garbled side. Lines too poor in such features are not
+   used. Both sides are made distinct first, so copies never multiply; a bit filter of the keys that occur on both sides keeps
+   lines without a partner out of the shuffle.
 3. Alignment. The characters of a pair's stretches are laid against the UTF-8 bytes of its twin; where all agree with one wrong
    encoding of the family below, that encoding gets the line's support, and its character sequences become learned mappings.
+   Where none agrees and none reads the line as UTF-8, the sequences are learned under the name `TWIN`, if two lines show them
+   and more than twice as many as show anything else for them (words of one pattern make chance twins).
    Pairs of neighbouring letters of the 8-bit alphabets are counted as well (at most the square of some 900 letters).
-4. Application. In every document, whole texts: each stretch of non-ASCII characters around a suspicious pattern is turned back
-   by each encoding, up to three layers deep, and the most plausible result is taken. It must explain the whole stretch, and its
+4. Application. In every document, whole texts: each stretch of non-ASCII characters around a suspicious pattern or a mapping of
+   `TWIN` is turned back by the learned mappings, and where they do not cover it by each encoding's table, up to three layers
+   deep, and the most plausible result is taken. It must explain the whole stretch, and its
    characters must be known from clean text. Short stretches need an encoding that is learned, in `ASSUME`, or proven by long
    stretches, which speak for themselves. Double-byte encodings and swapped UTF-16 lose or swallow ASCII characters, so no
    stripped twin exists for them; they are recognised by their bytes alone, by the same rules. Lines or words whose letter pairs
@@ -18,7 +22,7 @@
 
 Defined results: null, empty and ASCII texts are not garbled; repeated rows are judged alike; a text with nothing but lost
 characters (U+FFFD) is reported, unrestored; empty tables give no rows. Only the inventory (at most one row a Unicode character
-or pair of 8-bit letters), the bit filter of garbled lines' keys (2 MB) and the support (one row an encoding) reach the driver.
+or pair of 8-bit letters), the bit filter of twins' keys (2 MB) and the mappings (one row an encoding and character) reach the driver.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import cut
@@ -44,6 +48,7 @@ DOUBLE = ["gb18030", "big5", "shift_jis", "cp949", "euc_jp"]
 LEGACY = ["cp1251", "koi8_r", "cp866", "iso8859_5", "mac_cyrillic", "cp1252", "cp437", "mac_roman", "cp1253", "cp1256"]
 ORIGINAL = ["cp1251", "koi8_r", "cp866", "cp1253", "cp1256"]
 ASSUME = ("cp1252",)
+TWIN = "twin"  # stands for encodings known from near-twins only
 LOST = "�"
 LAYERS, LONG = 3, 4
 FILTER_BITS = 24
@@ -104,10 +109,11 @@ def _word(text: str) -> bool:
 
 
 class Judge:
-    """Turns stretches back; holds document frequencies, letter pair counts, learned encodings and a memo of stretches."""
+    """Turns stretches back; holds document frequencies, letter pair counts, learned encodings and mappings, and a memo of stretches."""
 
-    def __init__(self, frequency: dict[str, int], learned: set[str], pairs: dict[str, int] | None = None):
-        self.frequency, self.learned, self.pairs = frequency, learned, pairs or {}
+    def __init__(self, frequency: dict[str, int], learned: set[str], pairs: dict[str, int] | None = None, mappings: dict[str, dict[str, str]] | None = None):
+        self.frequency, self.learned, self.pairs, self.mappings = frequency, learned, pairs or {}, mappings or {}
+        self.taught = re.compile("[" + "".join(map(re.escape, sorted({seen[0] for seen in self.mappings[TWIN]}))) + "]") if self.mappings.get(TWIN) else None
         counts = sorted(self.pairs.values())
         self.usual_least = 0.5 * sum(n * math.log1p(n) for n in counts) / max(1, sum(counts))
         self.blocks = Counter()
@@ -122,6 +128,17 @@ class Judge:
     def known(self, c: str) -> bool:
         return c < "\x80" or self.frequency.get(c, 0) > 1 or (c.isalpha() and self.blocks[ord(c) >> 7] > 50) or (unicodedata.category(c)[0] == "M" and self.blocks[ord(c) >> 7] > 50)
 
+    def _mapped(self, run: str, name: str) -> str | None:
+        """The stretch by the mappings learned of an encoding; None where they do not cover it."""
+        out, at, mapping = [], 0, self.mappings.get(name, {})
+        while at < len(run):
+            k = next((k for k in (4, 3, 2) if run[at : at + k] in mapping), 0)
+            if not k:
+                return None
+            out.append(mapping[run[at : at + k]])
+            at += k
+        return "".join(out)
+
     def _single(self, run: str, name: str) -> str | None:
         out, at, table = [], 0, TABLES[name]
         for m in _LENIENT[name].finditer(run):
@@ -217,12 +234,15 @@ class Judge:
         for _ in range(LAYERS):
             onward = []
             for text, path in frontier:
-                for name in SINGLE:
-                    if (got := self._single(text, name)) is not None and got != text:
+                for name in [*SINGLE, TWIN]:
+                    got = self._mapped(text, name)
+                    if got is None and name != TWIN:
+                        got = self._single(text, name)
+                    if got is not None and got != text:
                         evident = name in self.learned or name in ASSUME or name in shown
                         onward.append((got, f"{path}{name} "))
                         score = self._plausible(run, got, evident, before, after)
-                        if score is not None and (best is None or score > best[0]):
+                        if score is not None and (score > 0 or TWIN not in f"{path}{name}".split()) and (best is None or score > best[0]):
                             best = (score, got, f"{path}{name}")
             frontier = [(t, p) for t, p in onward if _RUN.fullmatch(t)]
             if not frontier:
@@ -246,7 +266,7 @@ class Judge:
     def restore(self, text: str) -> tuple[bool, str, list[str]]:
         """(garbled, text turned back, encodings) of a whole text."""
         how: set[str] = set()
-        if _ODD.search(text):
+        if _ODD.search(text) or (self.taught and self.taught.search(text)):
             first, how = self._pass(text, frozenset())
             shown = frozenset(n for h in how for n in h.split()) - self.learned - {*ASSUME}
             if shown & {*SINGLE, *DOUBLE}:  # what long stretches prove holds for the short ones of the same text
@@ -263,7 +283,7 @@ class Judge:
         out, at, how = [], 0, set()
         for m in _RUN.finditer(text):
             run = m[0]
-            if not _ODD.search(run) or not _SUSPECT.search(run):
+            if (not _ODD.search(run) or not _SUSPECT.search(run)) and not (self.taught and self.taught.match(run)):
                 continue
             key = (run, text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1], shown)
             if key not in self.memo:
@@ -293,35 +313,48 @@ def _proven(run: str) -> str | None:
     return None
 
 
-def _features(line: str, dirty: bool) -> int | None:
-    """The key of a line: what is left without its non-ASCII stretches, and their lengths in bytes; None for lines too poor in features."""
+def _features(line: str) -> tuple[int | None, int | None]:
+    """The keys of a line as a garbled and as a clean one: what is left without its non-ASCII stretches, their lengths in bytes, and
+    the bytes numbered as they first occur. Lines with equal keys are turned into each other by one character a byte. None for lines
+    too poor in features, or that can't be garbled.
+    """
     import xxhash
 
     runs, rest = _RUN.findall(line), _RUN.sub("\x01", line)
     if len(runs) < 4 and sum(c.isalpha() for c in rest) < 8:
-        return None
-    sizes = ",".join(str(len(r) if dirty else len(r.encode())) for r in runs)
-    return xxhash.xxh64_intdigest(f"{rest}\x00{sizes}".encode("utf-8", "surrogatepass"))
+        return None, None
+
+    def key(sizes: list[int], order: bytes) -> int:
+        return xxhash.xxh64_intdigest(f"{rest}\x00{','.join(map(str, sizes))}\x00".encode("utf-8", "surrogatepass") + order)
+
+    text = "".join(runs)
+    raw = [r.encode("utf-8", "surrogatepass") for r in runs]
+    first = bytes(dict.fromkeys(b"".join(raw)))
+    clean = key([len(r) for r in raw], b"".join(raw).translate(bytes.maketrans(first, bytes(range(len(first))))))
+    seen = dict.fromkeys(text)
+    if len(seen) > 128 or min(map(len, runs)) < 2:  # no byte of the upper half gives two characters; no character is one byte
+        return None, clean
+    return key([len(r) for r in runs], text.translate({ord(c): i for i, c in enumerate(seen)}).encode("latin-1")), clean
 
 
-def _lines(text: str) -> Iterator[tuple[str, bool, int]]:
-    """(line, suspicious, key) of the lines of a text that can meet a twin."""
+def _lines(text: str) -> Iterator[tuple[str, int | None, int]]:
+    """(line, key as a garbled line, key as a clean line) of the lines of a text that can meet a twin."""
     for line in text.split("\n"):
         if not line.isascii():
-            dirty = any(map(suspicious, _RUN.findall(line)))
-            if (key := _features(line, dirty)) is not None:
-                yield line, dirty, key
+            dirty, clean = _features(line)
+            if clean is not None:
+                yield line, dirty, clean
 
 
 def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """(seen, n, mask): in how many documents each non-ASCII character, and each pair of 8-bit letters, occurs outside suspicious
     stretches; as `!name`, the documents in which a stretch proves an encoding by itself; as `#i`, word i of a bit filter of the
-    keys of garbled lines. Summed per task first; 2 ** filter_bits / 64 words at most.
+    keys that occur both of garbled and of clean lines. Summed per task first; 2 ** filter_bits / 64 words at most.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
-        bits = np.zeros(1 << (filter_bits - 6), np.uint64)
+        bits, clean = np.zeros(1 << (filter_bits - 6), np.uint64), np.zeros(1 << (filter_bits - 6), np.uint64)
         for batch in batches:
             for t in batch.column(0):
                 t = t.as_py()
@@ -332,16 +365,26 @@ def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_B
                     n.update({r[i : i + 2] for r in runs for i in range(len(r) - 1) if r[i] in _LETTERS and r[i + 1] in _LETTERS})
                     if bad := {r for r in every - runs if suspicious(r)}:
                         n.update({f"!{name}" for r in bad if len(r) > 11 and (name := _proven(r))})
-                        for _, dirty, key in _lines(t):
-                            if dirty:
-                                bits[(key >> 6) % len(bits)] |= np.uint64(1 << (key & 63))
-        words = np.flatnonzero(bits)
+                    for _, *keys in _lines(t):
+                        for key, held in zip(keys, (bits, clean), strict=True):
+                            if key is not None:
+                                held[(key >> 6) % len(held)] |= np.uint64(1 << (key & 63))
+        words = np.flatnonzero(bits | clean)
         seen, counts = [*n, *[f"#{i}" for i in words]], [*n.values(), *[0] * len(words)]
-        masks = [*[0] * len(n), *bits[words].astype(np.int64).tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array(counts, pa.int64()), pa.array(masks, pa.int64())], names=["seen", "n", "mask"])
+        masks = [pa.array([*[0] * len(n), *held[words].astype(np.int64).tolist()], pa.int64()) for held in (bits, clean)]
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array(counts, pa.int64()), *masks], names=["seen", "n", "mask", "clean"])
 
-    counts = documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "seen string, n long, mask long")
-    return counts.groupBy("seen").agg(F.sum("n").alias("n"), F.bit_or("mask").alias("mask"))
+    counts = documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "seen string, n long, mask long, clean long")
+    sums = counts.groupBy("seen").agg(F.sum("n").alias("n"), F.bit_or("mask").bitwiseAND(F.bit_or("clean")).alias("mask"))
+    return sums.where("n > 0 or mask <> 0")
+
+
+def _utf8(runs: list[str], table: dict[str, int]) -> bool:
+    """Whether all stretches are UTF-8 seen through the encoding."""
+    try:
+        return all(bytes(table[c] for c in r).decode("utf-8") for r in runs)
+    except (KeyError, UnicodeDecodeError):
+        return False
 
 
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -351,21 +394,27 @@ def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if _RUN.sub("\x01", garbled) != _RUN.sub("\x01", clean):
                 continue
             pairs = list(zip(_RUN.findall(garbled), _RUN.findall(clean), strict=True))
-            for name, table in TABLES.items():
-                if all(g == c or bytes(table.get(x, 0) for x in g) == c.encode() for g, c in pairs) and any(g != c for g, c in pairs):
-                    for g, c in pairs:
-                        at = 0
-                        for x in c if g != c else "":
-                            k = len(x.encode())
-                            out.append((name, garbled, g[at : at + k], x))
-                            at += k
+            if any(len(g) != len(c.encode()) for g, c in pairs):
+                continue
+            to, back = {}, {}  # one character a byte, and one byte a character
+            if not all(to.setdefault(b, x) == x and back.setdefault(x, b) == b for g, c in pairs for x, b in zip(g, c.encode(), strict=True)):
+                continue
+            names = [n for n, table in TABLES.items() if all(table.get(x) == b for x, b in back.items())]
+            if not names and any(_utf8([g for g, _ in pairs], table) for table in TABLES.values()):
+                continue
+            for g, c in pairs:
+                at = 0
+                for x in c:
+                    k = len(x.encode())
+                    out += [(name, garbled, g[at : at + k], x) for name in names or [TWIN]]
+                    at += k
         yield pd.DataFrame(out, columns=["name", "line", "seen", "original"])
 
 
 def learn(documents: DataFrame, text: str = "text", found: list | None = None, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(name, seen, original, support): mappings inferred from near-twins, with the number of garbled lines behind each.
 
-    Only garbled lines, and clean lines whose key the filter of `survey` (its rows: found) may hold, are shuffled.
+    Only lines whose key the filter of `survey` (its rows: found) may hold are shuffled.
     """
     found = survey(documents, text, filter_bits).where("seen like '#%'").collect() if found is None else found
     bits = np.zeros(1 << (filter_bits - 6), np.int64)
@@ -381,23 +430,29 @@ def learn(documents: DataFrame, text: str = "text", found: list | None = None, f
             for t in batch.column(0):
                 t = t.as_py()
                 if t and not t.isascii():
-                    rows |= {(k, line, dirty) for line, dirty, k in _lines(t) if dirty or int(held[(k >> 6) % len(held)]) >> (k & 63) & 1}
+                    for line, *keys in _lines(t):
+                        rows |= {(k, line, dirty) for k, dirty in zip(keys, (True, False), strict=True) if k is not None and int(held[(k >> 6) % len(held)]) >> (k & 63) & 1}
             keys, lines, dirt = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array([k - (1 << 64) if k >> 63 else k for k in keys], pa.int64()), pa.array(lines, pa.string()), pa.array(dirt, pa.bool_())], names=["key", "line", "dirty"])
 
     lines = cut(documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "key long, line string, dirty boolean").distinct())
     garbled, clean = lines.where("dirty").select("key", F.col("line").alias("garbled")), lines.where("not dirty").select("key", F.col("line").alias("clean"))
     pairs = garbled.join(clean, "key").select("garbled", "clean")
-    return pairs.mapInPandas(_align, "name string, line string, seen string, original string").groupBy("name", "seen", "original").agg(F.count_distinct("line").alias("support"))
+    aligned = pairs.mapInPandas(_align, "name string, line string, seen string, original string")
+    sums = aligned.groupBy("name", "seen", "original").agg(F.count_distinct("line").alias("support"))
+    rivals = F.sum("support").over(Window.partitionBy("name", "seen")) - F.col("support")  # few rows: the originals of one sequence
+    return sums.withColumn("rivals", rivals).where((F.col("name") != TWIN) | ((F.col("support") > 1) & (F.col("support") > 2 * F.col("rivals")))).drop("rivals")
 
 
 def restored(documents: DataFrame, key: str = "doc_id", text: str = "text", least_support: int = 1) -> DataFrame:
     """(key, original, encodings) of the garbled documents: the text as far as it can be had back, and what it was read with."""
     found = survey(documents, text).collect()
-    support = learn(documents, text, found).groupBy("name").agg(F.max("support").alias("s")).collect()
+    mappings: dict[str, dict[str, str]] = {}
+    for r in sorted(learn(documents, text, found).where(F.col("support") >= least_support).collect(), key=lambda r: (-r.support, r.original)):
+        mappings.setdefault(r.name, {}).setdefault(r.seen, r.original)  # what most lines show
     counts = {r.seen: r.n for r in found if r.n}
-    learned = {r.name for r in support if r.s >= least_support} | {k[1:] for k in counts if len(k) > 2}
-    known = {k: n for k, n in counts.items() if len(k) == 1}, learned, {k: n for k, n in counts.items() if len(k) == 2}
+    learned = {*mappings} | {k[1:] for k in counts if len(k) > 2}
+    known = {k: n for k, n in counts.items() if len(k) == 1}, learned, {k: n for k, n in counts.items() if len(k) == 2}, mappings
     shared = documents.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

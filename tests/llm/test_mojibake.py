@@ -57,6 +57,32 @@ def test_learned_mappings(spark):
     assert ("cp1252", "Ã©", "é") in got and ("mac_roman", "√©", "é") in got and ("cp1252", "à¤š", "च") in got
 
 
+def test_mappings_of_unlisted_encodings_are_learned_and_applied(spark):
+    assert "cp775" not in m.TABLES
+    shown = ["Le café de l’été, où la mère préférée chante à la fête.", "La mère a déjà préféré l’été à la fête, où est le café ?"]
+    apart = "Une préférence très chère à l’élève"  # no twin of its own
+    rows = CLEAN * 3 + shown * 2 + [seen_as(t, "cp775") for t in [*shown, apart]]
+    docs = frame(spark, rows)
+    assert ("twin", seen_as("é", "cp775"), "é") in {(r.name, r.seen, r.original) for r in m.learn(docs).collect()}
+    got = {r.doc_id: r.original for r in m.restored(docs).collect()}
+    n = len(CLEAN) * 3 + 4
+    assert got == {n + i: t for i, t in enumerate([*shown, apart])}
+
+
+def test_chance_twins_teach_nothing(spark):
+    line = "पड़ोसी {} किताब सीखना चाहते हैं।"
+    rows = [*CLEAN, line.format("मीठी"), line.format("मीठी") + " ", seen_as(line.format("धीमी"), "cp1252"), seen_as(line.format("धीमी"), "cp1252") + " "]
+    assert m._features(rows[-2])[0] == m._features(rows[-4])[1]
+    assert m.learn(frame(spark, rows)).where("name = 'twin'").count() == 0
+    assert m.restored(frame(spark, rows)).where("doc_id >= 12").first().original == line.format("धीमी")
+
+
+def test_learned_mappings_decide():
+    judge = m.Judge({"é": 50, "è": 50}, {"cp1252"}, {}, {"cp1252": {"Ã©": "è"}})
+    assert judge.turn_back("Ã©") == ("è", "cp1252") and judge.turn_back("Ã¨") == ("è", "cp1252")
+    assert m.Judge({"é": 50}, {m.TWIN}, {}, {m.TWIN: {"ħŋ": "é"}}).restore("cafħŋ ħŋx") == (True, "café éx", ["twin"])
+
+
 def test_lost_characters_are_filled_in(spark):
     rows = [*CLEAN, CLEAN[0], "दुकान में चाय", "My café.", "A cliché, a clichy.", CLEAN[0].replace("é", "�") + " café", "da�s na�ve caf� x�", None, ""]
     docs = frame(spark, rows)
