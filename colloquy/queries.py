@@ -319,6 +319,17 @@ def turns_text(spark: SparkSession, d: str) -> DataFrame:
     return segments.words_in_turns(w, fx.derive(spark, d, fx.TURNS, words=w))
 
 
+@query("transcripts", f"""WITH {_INTER}, e AS (SELECT inter.*, coalesce(lead(start_ms) OVER (PARTITION BY clip_id, channel ORDER BY idx), total_ms) AS nx FROM inter JOIN totals USING (clip_id)),
+turns AS ({fx.TURNS}) SELECT t.clip_id, t.channel, t.seg_idx, string_agg(w.word, ' ' ORDER BY w.start_ms, w.idx) AS text, count(*) AS n_words
+FROM e w JOIN turns t ON w.clip_id = t.clip_id AND w.channel = t.channel AND w.start_ms >= t.start_ms AND w.start_ms < t.end_ms GROUP BY ALL""")
+def transcripts(spark: SparkSession, d: str) -> DataFrame:
+    """The turns with all their words, those without a time placed first."""
+    from .plans.pipelines import assemble_transcripts
+
+    w, totals = _words(spark, d)
+    return assemble_transcripts(w, fx.derive(spark, d, fx.TURNS, words=w), totals)[1]
+
+
 @query("word_counts", f"WITH {_W} SELECT clip_id, count(*) AS n_words, count(*) FILTER (start_ms IS NULL) AS n_unplaced FROM words GROUP BY clip_id")
 def word_counts(spark: SparkSession, d: str) -> DataFrame:
     return _words(spark, d)[0].groupBy("clip_id").agg(F.count("*").alias("n_words"), F.count_if(F.col("start_ms").isNull()).alias("n_unplaced"))
@@ -546,9 +557,10 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
 
 
-@query("curate_light_heavy", f"""WITH {_V}, a AS (SELECT clip_id, count(*) AS n, CAST(floor(median(num_speakers)) AS INT) AS ns FROM v GROUP BY clip_id)
+@query("speaker_verdict_counts", f"""WITH {_V}, a AS (SELECT clip_id, count(*) AS n, CAST(floor(median(num_speakers)) AS INT) AS ns FROM v GROUP BY clip_id)
 SELECT CASE WHEN ns < 2 THEN 'few' ELSE 'enough' END AS outcome, count(*) AS n FROM a WHERE n >= 2 GROUP BY 1""")
-def curate_light_heavy(spark: SparkSession, d: str) -> DataFrame:
+def speaker_verdict_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Clips by whether their voted number of speakers is below two; plans.curate has the gates and conversation statistics."""
     v = votes.verdicts(fx.derive(spark, d, fx.VOTES))
     return v.groupBy(F.when(F.col("num_speakers") < 2, "few").otherwise("enough").alias("outcome")).agg(F.count("*").alias("n"))
 
