@@ -27,7 +27,13 @@ MOST_SOURCES = 10_000
 
 
 def poisson_cdf(mean: float, most: int) -> list[float]:
-    """P(X <= k) for k = 0 .. most - 1."""
+    """P(X <= k) for k = 0 .. most - 1; of large means by logarithms, as exp(-mean) is 0 there."""
+    if mean > 700:
+        out, total = [], 0.0
+        for k in range(most):
+            total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+            out.append(min(total, 1.0))
+        return out
     term = total = math.exp(-mean)
     out = []
     for k in range(1, most + 1):
@@ -47,8 +53,6 @@ def mean_for_rate(rate: float, most: int) -> float:
     cut_mean = lambda m: sum(1 - c for c in poisson_cdf(m, most))
     while cut_mean(hi) < rate:
         hi *= 2
-        if hi > 700:
-            return math.inf
     for _ in range(80):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if cut_mean(mid) < rate else (lo, mid)

@@ -85,6 +85,12 @@ def test_cut_poisson():
             assert math.isclose(sum(1 - c for c in mixture.poisson_cdf(mean, most)), rate, abs_tol=1e-9)
 
 
+def test_large_rates_keep_their_mean():
+    for rate, most in [(600.0, 1000), (511.0, 513), (999.5, 1000), (5000.0, 20_000)]:
+        mean = mixture.mean_for_rate(rate, most)
+        assert math.isfinite(mean) and math.isclose(sum(1 - c for c in mixture.poisson_cdf(mean, most)), rate, rel_tol=1e-6)
+
+
 def test_plan_fills_up():
     s = [{"source": n, "weight": w, "most": m, "tokens": t} for n, w, m, t in [("a", 0.5, 1, 100), ("b", 0.3, 2, 1000), ("c", 0.1, 5, 1000), ("gone", 0.1, 3, 0)]]
     want = {x["source"]: x["want"] for x in mixture.plan(s, 1000.0)}
