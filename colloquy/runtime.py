@@ -13,9 +13,11 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a local one only where the setting is absent (tests)."""
+    """The folder all executors share, from spark.checkpoint.dir; one of this machine only where Spark is local (tests)."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="colloquy-")
         spark.conf.set(SETTING, folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -51,8 +53,40 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of a path on whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a written table on whatever file system holds it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    """Remove a written table."""
+    fs, target = _at(spark, path)
+    fs.delete(target, True)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names below a folder; none where it does not exist."""
+    fs, target = _at(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _at(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under its name at once, by renaming; fails where the name is taken."""
+    fs, target = _at(spark, path)
+    _, draft = _at(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    stream.write(text.encode())
+    stream.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
