@@ -5,10 +5,9 @@ its smallest incident edge (edges are in one total order: a hash, then the end p
 spanning forest, and the components along them are contracted. Each round is a few grouped minima and joins on checkpointed
 tables and at least halves the components that still have edges, so a graph of n nodes needs log2(n) rounds at most.
 
-Roots are stratified by size band (powers of two of their windows) and dealt systematically in the order of band and hash:
-every k-th root goes to validation or test in turn, k such that each gets its share of all windows. A root larger than half
-a small side's share would tear the proportions and stays in train. Ranks come from counts per band and hash bucket, so no
-task ranks all roots.
+Roots are stratified by size band (quarter powers of two of their windows) and dealt systematically in the order of band and hash, any
+proportions to any number of sides. A root larger than half a small side's share would tear the proportions and stays in train.
+Ranks come from counts per band and hash bucket, so no task ranks all roots.
 
 Defined results: paths without a clip id of 11 characters or more are their own group (the path itself); null paths are left
 out; repeated rows count as often as they occur for sizes; channels that are null tie nothing; empty tables give no rows.
@@ -17,6 +16,8 @@ A channel holding a third of all rows is one key only in minima and sums combine
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from .naming import video_id
 from .windows import clip_of_path
 
 PROPORTIONS = {"train": 0.9, "val": 0.05, "test": 0.05}
+BUCKET_BITS, GOLDEN, HEAVY = 10, 0.6180339887498949, 0.001
 
 
 def spanning_forest(edges: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -78,29 +80,38 @@ def torn_groups(grouped: DataFrame) -> DataFrame:
 
 
 def deal(sizes: DataFrame, proportions: dict[str, float] = PROPORTIONS, seed: int = 0) -> DataFrame:
-    """(root, n, side) for (root, n): roots dealt systematically by size band; the first proportion takes what is too large."""
-    names, small = list(proportions), list(proportions)[1:]
-    sizes = cut(sizes.select("root", F.col("n").cast("long").alias("n")))
-    limit = 0.5 * min(proportions[s] for s in small)
+    """(root, n, side) for (root, n): roots dealt systematically by size band; the first side takes what is too large for another.
+
+    Root number r falls on the fraction of r times the golden ratio. Any stretch of neighbouring numbers spreads evenly over
+    [0, 1) that way, so every side, given a stretch of [0, 1) as long as its proportion, gets its share of every size band. Heavy
+    roots, each over the share HEAVY of all rows, come first; what they leave each side fixes the stretches for the others.
+    """
+    first, small = next(iter(proportions)), {s: p for s, p in list(proportions.items())[1:] if p > 0}
+    sizes = cut(sizes.select("root", F.col("n").cast("long").alias("n"), F.xxhash64(F.lit(seed), "root").alias("h")))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first().t
-    large = F.col("n") > F.lit(limit * total)
-    dealt_total = sizes.where(~large).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first().t
-    q = min(1.0, sum(proportions[s] for s in small) * total / dealt_total) if dealt_total else 0.0
-    order = sizes.where(~large).withColumn("band", F.floor(F.log2("n"))).withColumn("h", F.xxhash64(F.lit(seed), "root")).withColumn("bucket", F.shiftrightunsigned("h", 56))
+    is_heavy = F.col("n") > F.lit(HEAVY * total)
+    heavy, given = [], dict.fromkeys(proportions, 0)
+    for r, row in enumerate(sizes.where(is_heavy).orderBy(F.desc("n"), "h", "root").collect(), 1):  # 1 / HEAVY rows at most
+        place = r * GOLDEN % 1
+        side = next((s for s, upto in zip(small, accumulate(small.values()), strict=True) if place < upto), first)
+        if side != first and row.n > min(0.5 * small[side] * total, small[side] * total - given[side]):
+            side = first
+        given[side] += row.n
+        heavy.append((row.root, row.n, side))
+    rest = total - sum(given.values())
+    open_ = {s: max(0.0, p * total - given[s]) / rest if rest else 0.0 for s, p in small.items()}
+    scale = 1 / max(1.0, sum(open_.values()))
+    order = sizes.where(~is_heavy).withColumn("band", F.floor(4 * F.log2("n"))).withColumn("bucket", F.shiftrightunsigned("h", 64 - BUCKET_BITS))
     counts = order.groupBy("band", "bucket").agg(F.count("*").alias("c"))
-    before = Window.orderBy(F.desc("band"), "bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most 64 bands x 256 buckets
+    before = Window.orderBy(F.desc("band"), "bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most 256 bands x 2 ** BUCKET_BITS small rows
     starts = counts.select("band", "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("start"))
     rank = F.col("start") + F.row_number().over(Window.partitionBy("band", "bucket").orderBy("h", "root"))
-    turn = F.floor(rank * F.lit(q))
-    share = {s: proportions[s] / sum(proportions[x] for x in small) for s in small}
-    cycle = round(1 / min(share.values()))
-    side, at = F.lit(small[-1]), 1.0
-    for s in reversed(small[1:]):
-        at -= share[s]
-        side = F.when((F.pmod(turn, F.lit(cycle)) + 0.5) / cycle < at, small[small.index(s) - 1]).otherwise(side)
-    drawn = F.when(turn > F.floor((rank - 1) * F.lit(q)), side).otherwise(names[0])
-    dealt = order.join(starts, ["band", "bucket"]).select("root", "n", drawn.alias("side"))
-    return dealt.unionByName(sizes.where(large).select("root", "n", F.lit(names[0]).alias("side")))
+    place, side = F.pmod(rank * F.lit(GOLDEN), F.lit(1.0)), F
+    for name, upto in zip(open_, accumulate(open_.values()), strict=True):
+        side = side.when(place < upto * scale, name)
+    side = side.otherwise(first) if small else F.lit(first)
+    dealt = order.join(starts, ["band", "bucket"]).select("root", "n", side.alias("side"))
+    return dealt.unionByName(sizes.sparkSession.createDataFrame(heavy, "root string, n long, side string"))
 
 
 def assign_splits(train: DataFrame, videos: DataFrame, seed: int = 0) -> DataFrame:

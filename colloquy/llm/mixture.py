@@ -7,40 +7,48 @@ A source whose rate reaches max_repeats gives all its documents max_repeats time
 sources in proportion to their weights (`shortfall="rescale"`, keeping the total), or to none (`"leave"`, keeping the weights).
 The copies are shuffled globally by a hash of (seed, document, copy).
 
+Sources are a table like any other: their number has no bound, the level that fills them up is found by grouped sums, and
+documents meet their source's plan in a join that may be split where one source holds a third of all rows. A distribution is
+tabulated only where it has weight, within some standard deviations of its mean, so neither rates nor max_repeats have a bound.
+
 Defined results: documents of a null or unlisted source count in the corpus' size but are not used; null and empty texts have
 0 tokens and may be used; a source without documents gives 0; repeated doc_ids are drawn alike; null max_repeats means 1; null
-weight means 0; an empty corpus gives no rows. Per-source totals (as many rows as mix_targets, at most `MOST_SOURCES`) are all
-that reaches the driver; a source with a third of all rows is only summed, combined before the shuffle.
+weight means 0; an empty corpus gives no rows. Only sums over all sources reach the driver.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..runtime import cut
 from .tokens import BYTE_BPE, FOLDER, count_tokens
 
-MOST_SOURCES = 10_000
+DEVIATIONS, MARGIN = 12, 40
+
+
+@lru_cache(maxsize=256)
+def poisson_table(mean: float) -> tuple[int, np.ndarray]:
+    """(first, cumulative): P(X <= first + i) over the numbers that have weight; by logarithms, as exp(-mean) may be 0."""
+    spread = DEVIATIONS * math.sqrt(mean) + MARGIN
+    first, last = max(0, math.floor(mean - spread)), math.ceil(mean + spread)
+    k = np.arange(first + 1, last + 1, dtype=np.float64)
+    start = first * math.log(mean) - mean - math.lgamma(first + 1)
+    return first, np.minimum(np.cumsum(np.exp(np.concatenate([[start], start + np.cumsum(math.log(mean) - np.log(k))]))), 1.0)
 
 
-def poisson_cdf(mean: float, most: int) -> list[float]:
-    """P(X <= k) for k = 0 .. most - 1; of large means by logarithms, as exp(-mean) is 0 there."""
-    if mean > 700:
-        out, total = [], 0.0
-        for k in range(most):
-            total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
-            out.append(min(total, 1.0))
-        return out
-    term = total = math.exp(-mean)
-    out = []
-    for k in range(1, most + 1):
-        out.append(total)
-        term *= mean / k
-        total += term
-    return out
+def cut_mean(mean: float, most: int) -> float:
+    """The mean of min(X, most): the sum of P(X > k) for k below most."""
+    if mean <= 0:
+        return 0.0
+    first, below = poisson_table(mean)
+    return most if first >= most else first + float((1 - below[: most - first]).sum())
 
 
 def mean_for_rate(rate: float, most: int) -> float:
@@ -50,30 +58,53 @@ def mean_for_rate(rate: float, most: int) -> float:
     if rate >= most:
         return math.inf
     lo, hi = 0.0, 1.0
-    cut_mean = lambda m: sum(1 - c for c in poisson_cdf(m, most))
-    while cut_mean(hi) < rate:
+    while cut_mean(hi, most) < rate:
         hi *= 2
-    for _ in range(80):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if cut_mean(mid) < rate else (lo, mid)
+    while lo < (mid := (lo + hi) / 2) < hi and hi - lo > 1e-12 * hi:
+        lo, hi = (mid, hi) if cut_mean(mid, most) < rate else (lo, mid)
     return hi
 
 
-def plan(sources: list[dict], total: float, shortfall: str = "rescale") -> list[dict]:
-    """Adds want (tokens to give) to sources with weight, most and tokens: water is filled up to most * tokens."""
-    open_ = [s for s in sources if s["weight"] > 0 and s["tokens"] > 0 and s["most"] > 0]
-    want = {s["source"]: 0.0 for s in sources}
-    left = total
-    while open_:
-        scale = left / sum(s["weight"] for s in open_) if shortfall == "rescale" else total / (sum(s["weight"] for s in sources) or 1)
-        full = [s for s in open_ if s["weight"] * scale >= s["most"] * s["tokens"]]
-        for s in full or open_:
-            want[s["source"]] = min(s["weight"] * scale, s["most"] * s["tokens"])
-        if not full:
+def draw(u: np.ndarray, mean: float, most: int) -> np.ndarray:
+    """min(X, most) of the inverse distribution at u."""
+    if math.isinf(mean):
+        return np.full(len(u), most, np.int64)
+    if mean <= 0:
+        return np.zeros(len(u), np.int64)
+    first, below = poisson_table(mean)
+    return np.minimum(first + np.searchsorted(below, u), most)
+
+
+@F.pandas_udf(T.DoubleType())
+def _mean(rate: pd.Series, most: pd.Series) -> pd.Series:
+    return pd.Series([mean_for_rate(r, m) for r, m in zip(rate, most, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(T.LongType())
+def _repeats(u: pd.Series, mean: pd.Series, most: pd.Series) -> pd.Series:
+    out = np.zeros(len(u), np.int64)
+    for (m, k), at in u.groupby([mean, most]).indices.items():
+        out[at] = draw(u.to_numpy()[at], float(m), int(k))
+    return pd.Series(out)
+
+
+def fill(sources: DataFrame, total: float, shortfall: str = "rescale") -> DataFrame:
+    """Adds want (tokens to give) to (source, weight, most, tokens): weight * level, at most `most * tokens`.
+
+    The level at which the wants make the total is found from below by Newton's steps, each one grouped sum over the sources;
+    a step takes the sources that are full by then at their bound, so there are never more steps than sources, and few in practice.
+    """
+    bound = F.col("most") * F.col("tokens")
+    live = F.when(bound > 0, F.col("weight")).otherwise(0.0)
+    weights = sources.agg(F.sum(live).alias("live"), F.sum("weight").alias("all")).first()
+    level, full = total / ((weights.live if shortfall == "rescale" else weights["all"]) or 1.0), -1
+    while shortfall == "rescale":
+        filled = (live > 0) & (live * F.lit(level) >= bound)
+        got = sources.agg(F.count_if(filled).alias("n"), F.sum(F.when(filled, bound).otherwise(0)).alias("given"), F.sum(F.when(filled, 0.0).otherwise(live)).alias("open")).first()
+        if got.n == full or not got.open:
             break
-        left -= sum(want[s["source"]] for s in full)
-        open_ = [s for s in open_ if s not in full]
-    return [s | {"want": want[s["source"]]} for s in sources]
+        level, full = max(level, (total - got.given) / got.open), got.n
+    return sources.withColumn("want", F.least(live * F.lit(level), bound.cast("double")))
 
 
 def _uniform(seed: int, *cols: str | Column) -> Column:
@@ -82,32 +113,23 @@ def _uniform(seed: int, *cols: str | Column) -> Column:
 
 def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, shortfall: str = "rescale", name: str = BYTE_BPE, folder: str = FOLDER) -> tuple[DataFrame, DataFrame]:
     """(doc_id, source, tokens, repeats) of all listed documents, and each source's target and actual share."""
-    spark = documents.sparkSession
     sized = cut(count_tokens(documents, "doc_id", "source", name=name, folder=folder))
-    wanted = targets.groupBy("source").agg(F.max(F.coalesce("weight", F.lit(0.0))).alias("weight"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("most")).where("source is not null")
+    wanted = targets.where("source is not null").groupBy("source").agg(F.max(F.coalesce("weight", F.lit(0.0))).alias("weight"), F.max(F.coalesce(F.col("max_repeats").cast("long"), F.lit(1))).alias("most"))
     sums = sized.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("documents"))
-    per = wanted.join(sums, "source", "left").limit(MOST_SOURCES + 1).collect()
-    if len(per) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    total = sized.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first().t
-    sources = [{"source": r.source, "weight": float(r.weight), "most": int(r.most), "tokens": int(r.tokens or 0), "documents": int(r.documents or 0)} for r in per]
-    planned = plan(sources, float(total), shortfall)
-    rows = []
-    for s in planned:
-        rate = s["want"] / s["tokens"] if s["tokens"] else 0.0
-        mean = mean_for_rate(rate, s["most"])
-        steps = [-1.0] * s["most"] if math.isinf(mean) else poisson_cdf(mean, s["most"])
-        rows.append((s["source"], s["weight"], s["most"], s["documents"], s["tokens"], s["want"] / total if total else 0.0, rate, steps))
-    head = "source string, target_share double, max_repeats int, documents long, tokens long, planned_share double, rate double, steps array<double>"
-    table = spark.createDataFrame(rows, head)
-    drawn = sized.join(F.broadcast(table.select("source", "steps")), "source").withColumn("u", _uniform(seed, "doc_id"))
-    repeats = F.size(F.filter("steps", lambda c: c < F.col("u")))
-    used = cut(drawn.select("doc_id", "source", "tokens", repeats.alias("repeats")))
+    nothing = F.lit(0).cast("long")
+    sources = cut(wanted.join(sums, "source", "left").select("source", "weight", "most", F.coalesce("documents", nothing).alias("documents"), F.coalesce("tokens", nothing).alias("tokens")))
+    total = sized.agg(F.coalesce(F.sum("tokens"), nothing).alias("t")).first().t
+    planned = fill(sources, float(total), shortfall).withColumn("rate", F.coalesce(F.try_divide("want", "tokens"), F.lit(0.0)))
+    table = cut(planned.withColumn("mean", _mean("rate", "most")))
+    drawn = sized.join(table.select("source", "mean", "most"), "source").withColumn("u", _uniform(seed, "doc_id"))
+    used = cut(drawn.select("doc_id", "source", "tokens", _repeats("u", "mean", "most").cast("int").alias("repeats")))
     given = used.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("given"), F.sum("repeats").alias("uses"))
-    got = given.agg(F.coalesce(F.sum("given"), F.lit(0)).alias("got"))
-    shares = table.drop("steps").join(given, "source", "left").crossJoin(F.broadcast(got)).select(
-        "source", "target_share", "planned_share", F.try_divide(F.coalesce("given", F.lit(0)), "got").alias("actual_share"), "max_repeats", "rate", "documents", "tokens",
-        F.coalesce("given", F.lit(0)).alias("tokens_given"), F.coalesce("uses", F.lit(0)).alias("uses"), F.lit(total).cast("long").alias("corpus_tokens"),
+    got = given.agg(F.coalesce(F.sum("given"), nothing).alias("got")).first().got
+    share = lambda c, of: F.try_divide(c.cast("double"), F.lit(float(of)))
+    tokens_given = F.coalesce("given", nothing)
+    shares = table.join(given, "source", "left").select(
+        "source", F.col("weight").alias("target_share"), F.coalesce(share(F.col("want"), total), F.lit(0.0)).alias("planned_share"), share(tokens_given, got).alias("actual_share"), F.col("most").alias("max_repeats"),
+        "rate", "documents", "tokens", tokens_given.alias("tokens_given"), F.coalesce("uses", nothing).alias("uses"), F.lit(total).cast("long").alias("corpus_tokens"),
     )
     return used, shares
 

@@ -68,7 +68,21 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return windows.pieces(table(spark, d, "train"), table(spark, d, "segments")).where("piece = 0").select("path", "kind")
 
 
-@query("p1_pieces")
+_PIECES = rf"""
+WITH RECURSIVE w AS (SELECT path, {_CLIP} AS clip_id, max(struct_pack(len := len, early := -offset_ms)) AS m
+  FROM (SELECT *, CAST(coalesce(n_frames * 80, round(duration * 1000)) AS BIGINT) AS len FROM train) t WHERE len > 180000 AND path IS NOT NULL AND offset_ms IS NOT NULL GROUP BY 1, 2),
+v AS (SELECT clip_id, start_ms, max(end_ms) AS end_ms FROM segments WHERE clip_id IS NOT NULL AND end_ms > start_ms GROUP BY clip_id, start_ms),
+f AS MATERIALIZED (SELECT clip_id, start_ms AS at, greatest(0, start_ms - coalesce(reach, 0)) AS silence FROM (SELECT *, max(end_ms) OVER (PARTITION BY clip_id ORDER BY start_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM v) x
+  WHERE reach IS NULL OR reach <= start_ms),
+r AS (SELECT path, clip_id, -m.early AS a, m.len - m.early AS finish, 0 AS piece, '' AS how FROM w
+  UNION ALL SELECT path, clip_id, coalesce(best.at, a + 180000) - 2000, finish, piece + 1, CASE WHEN best IS NULL THEN 'hard' ELSE 'natural' END
+  FROM (SELECT r.path, r.clip_id, r.a, r.finish, r.piece, max(CASE WHEN f.at IS NOT NULL THEN struct_pack(far := f.at >= r.a + 90000, silence := f.silence, at := f.at) END) AS best
+    FROM r LEFT JOIN f ON f.clip_id = r.clip_id AND f.at > r.a + 2000 AND f.at <= r.a + 180000 AND f.at < r.finish WHERE r.finish - r.a > 180000 GROUP BY r.path, r.clip_id, r.a, r.finish, r.piece) b)
+SELECT path, clip_id, CASE WHEN bool_or(how = 'hard') OVER p THEN 'hard' ELSE 'natural' END AS kind, CAST(piece AS INT) AS piece, CAST(a AS BIGINT) AS start_ms,
+  CAST(coalesce(lead(a) OVER (PARTITION BY path ORDER BY piece) + 2000, finish) AS BIGINT) AS end_ms, coalesce(lead(how) OVER (PARTITION BY path ORDER BY piece), 'end') AS cut FROM r WINDOW p AS (PARTITION BY path)"""
+
+
+@query("p1_pieces", _PIECES)
 def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     """The pieces of every oversized window."""
     return windows.pieces(table(spark, d, "train"), table(spark, d, "segments"))
@@ -86,6 +100,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.torn_groups(groups.window_groups(table(spark, d, "train"), table(spark, d, "videos")))
 
 
+_P4_WHOLE = _P4[: _P4.rindex("HAVING")].replace("SELECT coalesce(channel, vid) AS group_id", "SELECT coalesce(channel, vid) AS group_id, count(*) AS n_windows, CAST(1 AS BIGINT) AS n_sides")
+
+
+@query("p4_whole", _P4_WHOLE)
+def p4_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every group's windows, and on how many sides they are."""
+    rows = groups.assign_splits(table(spark, d, "train"), table(spark, d, "videos"))
+    return rows.groupBy("group_id").agg(F.count("*").alias("n_windows"), F.count_distinct("side").alias("n_sides"))
+
+
 @query("p4_assignment")
 def p4_assignment(spark: SparkSession, d: str) -> DataFrame:
     """The side of every window."""
@@ -106,6 +130,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetitive(table(spark, d, "nemo_audio"))
 
 
+@query("p5_shares", _P5[: _P5.rindex("SELECT audio_id")].replace("WHERE transcript IS NOT NULL", "") + """, s AS (SELECT audio_id, count(*) AS k FROM m GROUP BY audio_id)
+SELECT w.audio_id, coalesce(len(ws), 0) AS words, round(coalesce(k, 0) / greatest(1, coalesce(len(ws), 0)), 6) AS repeated_share FROM w LEFT JOIN s USING (audio_id)""")
+def p5_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The words and the share of repeated words of every transcript."""
+    rows = repetition.measures(table(spark, d, "nemo_audio"), "audio_id", "transcript", share=0.0)
+    return rows.select("audio_id", "words", F.round(F.coalesce("repeated_share", F.lit(0.0)), 6).alias("repeated_share"))
+
+
 @query("p5_measures")
 def p5_measures(spark: SparkSession, d: str) -> DataFrame:
     """Tokenizer measures, their bands by script, and the share of repeated words of every transcript; share 0 bars no row."""
@@ -118,11 +150,17 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(table(spark, d, "documents"))
 
 
+@query("p6_decoded", "SELECT doc_id, coalesce(text, '') AS text FROM documents")
+def p6_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text, read back from its token ids."""
+    return tokens.decode_rows(tokens.encode(table(spark, d, "documents")))
+
+
 @query("p7_mix")
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
     """Every listed document with its repeats, and its source's target and actual share."""
     used, shares = mixture.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
-    return used.join(F.broadcast(shares.select("source", "target_share", "actual_share")), "source").select("doc_id", "source", "tokens", "repeats", "target_share", "actual_share")
+    return used.join(shares.select("source", "target_share", "actual_share"), "source").select("doc_id", "source", "tokens", "repeats", "target_share", "actual_share")
 
 
 @query("p7_shares")
@@ -131,6 +169,17 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+@query("p7_sources", """SELECT t.source, t.weight AS target_share, CAST(t.max_repeats AS BIGINT) AS max_repeats, coalesce(n, 0) AS documents, FALSE AS over_cap, TRUE AS kept_plan
+FROM mix_targets t LEFT JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) d ON d.source = t.source""")
+def p7_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Each source's documents, whether any is used too often, and whether the tokens given are near the plan (five standard deviations of Poisson draws)."""
+    used, shares = mixture.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+    squares = used.groupBy("source").agg(F.max("repeats").alias("most"), F.sum(F.col("tokens").cast("double") * F.col("tokens")).alias("sq"))
+    off = F.abs(F.col("tokens_given") - F.col("rate") * F.col("tokens"))
+    rows = shares.join(squares, "source", "left")
+    return rows.select("source", "target_share", "max_repeats", "documents", (F.coalesce("most", F.lit(0)) > F.col("max_repeats")).alias("over_cap"), (off <= 5 * F.sqrt(F.coalesce("sq", F.lit(0.0)) * F.col("rate")) + 1).alias("kept_plan"))
+
+
 @query("p7_stream")
 def p7_stream(spark: SparkSession, d: str) -> DataFrame:
     """Every use of a document, in global random order."""

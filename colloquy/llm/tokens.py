@@ -81,6 +81,24 @@ def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", name:
     return rows.mapInArrow(run, f"k {kind}, ids array<int>").withColumnRenamed("k", key)
 
 
+def decode_rows(encoded: DataFrame, key: str = "doc_id", name: str = BYTE_BPE, folder: str = FOLDER) -> DataFrame:
+    """(key, text) of rows (key, ids); null ids give null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok, table = load(name, folder), byte_table()
+        pieces: dict[int, bytes] = {}
+        for batch in batches:
+            texts = []
+            for ids in batch.column(1).to_pylist():
+                for i in set(ids or ()) - pieces.keys():
+                    pieces[i] = bytes(table[c] for c in tok.id_to_token(i))
+                texts.append(None if ids is None else b"".join(map(pieces.__getitem__, ids)).decode("utf-8", errors="replace"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["k", "text"])
+
+    rows = encoded.select(F.col(key).alias("k"), "ids")
+    return rows.mapInArrow(run, f"k {rows.schema['k'].dataType.simpleString()}, text string").withColumnRenamed("k", key)
+
+
 def encode_offsets(documents: DataFrame, key: str = "doc_id", text: str = "text", name: str = BYTE_BPE, folder: str = FOLDER) -> DataFrame:
     """(key, ids, starts, ends): with each token's character range in the text."""
 

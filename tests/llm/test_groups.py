@@ -74,3 +74,13 @@ def test_dealing_keeps_proportions(spark):
     assert len(got) == len(sizes) and next(x.side for x in got if x.root == "huge") == "train"
     for side in ("val", "test"):
         assert abs(sum(x.n for x in got if x.side == side) / total - 0.05) < 0.01
+
+
+def test_dealing_any_proportions(spark):
+    r = random.Random(4)
+    sizes = spark.createDataFrame([(f"r{i}", int(r.paretovariate(1.5))) for i in range(6000)], "root string, n long").cache()
+    total = sizes.groupBy().sum("n").first()[0]
+    for shares in ({"train": 0.8, "val": 0.12, "test": 0.08}, {"a": 0.5, "b": 0.5}, {"a": 0.34, "b": 0.33, "c": 0.2, "d": 0.13}, {"train": 0.97, "val": 0.03, "none": 0.0}, {"all": 1.0}):
+        got = {x.side: x.n for x in groups.deal(sizes, shares).groupBy("side").agg(F.sum("n").alias("n")).collect()}
+        assert set(got) == {s for s, p in shares.items() if p > 0}
+        assert all(abs(got[s] / total - p) < 0.01 for s, p in shares.items() if p > 0), (shares, got)

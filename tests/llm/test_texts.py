@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -76,27 +77,63 @@ def test_any_text_comes_back(text):
     assert tokens.decode(tok.encode(text, add_special_tokens=False).ids) == text
 
 
+def poisson_cdf(mean, most):
+    """P(X <= k) for k = 0 .. most - 1, term by term."""
+    total, out = 0.0, []
+    for k in range(most):
+        total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+        out.append(min(total, 1.0))
+    return out
+
+
 def test_cut_poisson():
     for rate, most in [(0.3, 1), (1.5, 2), (1.99, 2), (2.0, 2), (0.0, 3), (3.2, 9)]:
         mean = mixture.mean_for_rate(rate, most)
         if rate >= most:
             assert math.isinf(mean)
         else:
-            assert math.isclose(sum(1 - c for c in mixture.poisson_cdf(mean, most)), rate, abs_tol=1e-9)
+            assert math.isclose(sum(1 - c for c in poisson_cdf(mean, most)) if mean else 0.0, rate, abs_tol=1e-9)
 
 
 def test_large_rates_keep_their_mean():
-    for rate, most in [(600.0, 1000), (511.0, 513), (999.5, 1000), (5000.0, 20_000)]:
+    for rate, most in [(600.0, 1000), (511.0, 513), (999.5, 1000), (5000.0, 20_000), (99_000.0, 100_000)]:
         mean = mixture.mean_for_rate(rate, most)
-        assert math.isfinite(mean) and math.isclose(sum(1 - c for c in mixture.poisson_cdf(mean, most)), rate, rel_tol=1e-6)
-
-
-def test_plan_fills_up():
-    s = [{"source": n, "weight": w, "most": m, "tokens": t} for n, w, m, t in [("a", 0.5, 1, 100), ("b", 0.3, 2, 1000), ("c", 0.1, 5, 1000), ("gone", 0.1, 3, 0)]]
-    want = {x["source"]: x["want"] for x in mixture.plan(s, 1000.0)}
-    assert want["a"] == 100 and want["gone"] == 0 and math.isclose(sum(want.values()), 1000) and math.isclose(want["b"] / want["c"], 3)
-    left = {x["source"]: x["want"] for x in mixture.plan(s, 1000.0, "leave")}
-    assert left == {"a": 100, "b": 300, "c": 100, "gone": 0}
+        assert math.isfinite(mean) and math.isclose(sum(1 - c for c in poisson_cdf(mean, most)), rate, rel_tol=1e-6)
+
+
+@given(st.floats(0.01, 1e5), st.integers(1, 200_000), st.integers(0, 1000))
+@settings(max_examples=60, deadline=None)
+def test_draws_have_the_mean(rate, most, seed):
+    mean = mixture.mean_for_rate(rate, most)
+    u = (np.arange(4000) + 0.5) / 4000  # evenly spaced, so only the tails' rounding is left
+    got = mixture.draw(u, mean, most)
+    assert got.max() <= most and abs(got.mean() - min(rate, most)) <= 0.01 * math.sqrt(rate) + 0.01 and (np.diff(got) >= 0).all()
+
+
+def plan(sources, total, shortfall="rescale"):
+    """What each source is to give, by filling and setting aside full sources in turn."""
+    open_ = [s for s in sources if s[1] > 0 and s[2] * s[3] > 0]
+    want, left = {s[0]: 0.0 for s in sources}, total
+    while open_:
+        scale = left / sum(s[1] for s in open_) if shortfall == "rescale" else total / (sum(s[1] for s in sources) or 1)
+        full = [s for s in open_ if s[1] * scale >= s[2] * s[3]]
+        want |= {s[0]: min(s[1] * scale, s[2] * s[3]) for s in full or open_}
+        if not full:
+            break
+        left -= sum(want[s[0]] for s in full)
+        open_ = [s for s in open_ if s not in full]
+    return want
+
+
+def test_filling_up(spark):
+    r = random.Random(8)
+    cases = [[("a", 0.5, 1, 100), ("b", 0.3, 2, 1000), ("c", 0.1, 5, 1000), ("gone", 0.1, 3, 0)], [("a", 0.5, 1, 10), ("b", 0.5, 1, 10)], [(f"s{i}", r.random(), r.randrange(4), r.randrange(2000)) for i in range(300)]]
+    for case in cases:
+        df = spark.createDataFrame(case, "source string, weight double, most long, tokens long")
+        for how in ("rescale", "leave"):
+            want = plan(case, 1000.0 if len(case) < 9 else 200_000.0, how)
+            got = {x.source: x.want for x in mixture.fill(df, 1000.0 if len(case) < 9 else 200_000.0, how).collect()}
+            assert all(math.isclose(got[k], v, rel_tol=1e-9, abs_tol=1e-9) for k, v in want.items())
 
 
 def test_mixture(spark):
