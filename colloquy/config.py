@@ -32,7 +32,7 @@ class Thresholds:
 
 @dataclass(frozen=True)
 class WindowPlan:
-    """Training windows: lengths in ms, loudness as root mean square."""
+    """Fixed values of training windows: lengths in ms, loudness as root mean square."""
 
     target_ms: int = 120_000
     min_ms: int = 30_000

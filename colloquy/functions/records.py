@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,11 +72,18 @@ def word_spans(df: DataFrame) -> DataFrame:
 
     Word i takes sizes[i] spans after those of the words before it. Rows whose number of spans is not the sum of sizes are errors and fail.
     """
-    total = F.aggregate("sizes", F.lit(0), lambda a, x: a + x)
-    checked = df.where(F.when(F.size("spans") == total, F.lit(True)).otherwise(F.raise_error(F.lit("token spans and targets differ in number")).cast("boolean")))
-    ends = F.aggregate("sizes", F.array().cast("array<int>"), lambda a, x: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + x)))
-    rows = checked.withColumn("__ends", ends).select("clip_id", "spans", "sizes", "n_samples", "n_frames", "rate", F.posexplode("__ends").alias("idx", "hi"))
-    rows = rows.withColumn("n", F.element_at("sizes", F.col("idx") + 1)).where("n > 0")
-    sample = lambda frame: F.floor(frame * F.col("n_samples") / F.col("n_frames"))
-    ms = lambda frame: F.floor((sample(frame) * 2000 + F.col("rate")) / (2 * F.col("rate"))).cast("long")
-    return rows.select("clip_id", "idx", ms(F.element_at("spans", F.col("hi") - F.col("n") + 1)["start"]).alias("start_ms"), ms(F.element_at("spans", F.col("hi"))["end"]).alias("end_ms"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for clip, spans, sizes, n_samples, n_frames, rate in b.itertuples(index=False):
+                sizes = np.asarray(sizes, np.int64)
+                last = np.cumsum(sizes)
+                if len(spans) != int(sizes.sum()):
+                    raise ValueError("token spans and targets differ in number")
+                ms = lambda frame: (frame * n_samples // n_frames * 2000 + rate) // (2 * rate)  # noqa: E731, B023
+                out += [(clip, i, ms(int(spans[hi - n]["start"])), ms(int(spans[hi - 1]["end"]))) for i, (n, hi) in enumerate(zip(sizes, last, strict=True)) if n > 0]
+            yield pd.DataFrame(out, columns=["clip_id", "idx", "start_ms", "end_ms"])
+
+    rows = df.where("spans is not null and sizes is not null and n_frames > 0 and rate > 0").select("clip_id", "spans", "sizes", F.col("n_samples").cast("long"), F.col("n_frames").cast("long"), F.col("rate").cast("long"))
+    return rows.mapInPandas(run, "clip_id string, idx int, start_ms long, end_ms long")

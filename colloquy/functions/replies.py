@@ -9,11 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+FENCE = "`" * 3
+
 
 def json_text(reply: Column) -> Column:
     """The JSON object of a reply: without fences, or from the first { to the last }; null where neither parses."""
-    clean = F.trim(F.regexp_replace(F.trim(reply), r"(?m)^```(?:json)?|```$", ""))
-    inner = F.nullif(F.regexp_extract(clean, r"(?s)(\{.*\})", 1), F.lit(""))
+    lines = F.split(F.trim(reply), "\n")
+    fence = lambda line: F.trim(line).startswith(FENCE)
+    clean = F.array_join(F.filter(lines, lambda line: ~fence(line)), "\n")
+    first, last = F.locate("{", reply), F.length(reply) - F.locate("}", F.reverse(reply)) + 1
+    inner = F.when((first > 0) & F.contains(reply, F.lit("}")) & (last > first), F.substring(reply, first, last - first + 1))
     valid = lambda c: F.when(F.try_parse_json(c).isNotNull(), c)
     return F.coalesce(valid(clean), valid(inner))
 

@@ -67,6 +67,11 @@ def portable_hash(key: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
+def jitter(key: Column, lo: float, hi: float, seed: int = 0) -> Column:
+    """A delay in [lo, hi) that is random over keys and the same again for one key."""
+    return F.lit(lo) + portable_hash(key, seed) / F.lit(float(1 << 32)) * F.lit(hi - lo)
+
+
 def grouped_split(df: DataFrame, key: Column, frac: float = WindowPlan.val_frac, seed: int = WindowPlan.seed) -> DataFrame:
     """(source, split): a share of the sources held out for validation, at least one of two or more.
 

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import blocked, scan
+
 
 def _total(x: Column, f) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda a, v: a + f(v.cast("double")))
@@ -63,6 +65,53 @@ def crossfade(x: Column, y: Column, n: int) -> Column:
     return F.concat(F.transform(F.slice(x, 1, F.size(x) - n), lambda v: v.cast("double")), mixed, F.transform(F.slice(y, n + 1, F.size(y)), lambda v: v.cast("double")))
 
 
+def pair_channels(rows: DataFrame) -> DataFrame:
+    """(clip_id, ch0, ch1) of one row a channel (clip_id, channel, samples): the two channels side by side; a missing one is null."""
+    of = lambda k: F.max(F.when(F.col("channel") == k, F.struct("samples")))["samples"].alias(f"ch{k}")
+    return rows.where("channel in (0, 1)").groupBy("clip_id").agg(of(0), of(1))
+
+
+def stitch(chunks: DataFrame, overlap: int, block: int = 256) -> DataFrame:
+    """(clip_id, i, swapped, ch0, ch1) of two-channel chunks (clip_id, i, ch0, ch1), each overlapping the one before by `overlap` samples.
+
+    Channels of a chunk may come exchanged; each chunk is turned to fit the stitched one before it, and the overlap is faded over.
+    Concatenated in order, the pieces are the stitched clip. No chunk waits for the one before: a comparison of two raw chunks tells
+    whether they differ, so a chunk is exchanged if an odd number of such differences lies before it (counted anew after a tie,
+    at which a chunk stays as it is). Only ends of chunks pass between rows, never a stitched clip. Chunks but the last have at
+    least `overlap` samples; a shorter last one overlaps with all it has.
+    """
+    by, at, n = ["clip_id"], ["i"], F.size("ch0")
+    ends = {f"head{k}": F.slice(f"ch{k}", 1, overlap) for k in (0, 1)} | {f"tail{k}": F.slice(f"ch{k}", F.greatest(F.lit(1), n - overlap + 1), F.lit(overlap)) for k in (0, 1)}
+    rows = blocked(chunks.select("clip_id", F.col("i").cast("long").alias("i"), "ch0", "ch1").withColumns(ends | {"n": n}), by, "i", block)
+    rows = scan(rows, by, at, fields=["tail0", "tail1", "n"], prev="before", nxt="after")
+    first, met = F.col("before").isNull(), F.least(F.size("before.tail0"), F.size("head0"))
+    tail = lambda k: F.slice(F.col(f"before.tail{k}"), F.size("before.tail0") - met + 1, met)
+    head = lambda k: F.slice(F.col(f"head{k}"), F.lit(1), met)
+    crossed, direct = (similarity(tail(0), head(j)) + similarity(tail(1), head(1 - j)) for j in (1, 0))
+    rows = rows.withColumns({"met": met, "crossed": crossed, "direct": direct})
+    rows = rows.withColumns({"differs": F.when(~first & (F.col("crossed") > F.col("direct")), 1).otherwise(0), "anew": first | (F.col("crossed") == F.col("direct"))})
+    rows = scan(rows, by, at, sums={"odd": F.col("differs")})
+    rows = scan(rows, by, at, maxima={"mark": F.when(F.col("anew"), F.struct("i", "odd"))})
+    since = F.when(F.col("anew"), F.col("odd")).otherwise(F.col("mark.odd"))
+    rows = scan(rows.withColumn("swapped", F.pmod(F.col("odd") - since, F.lit(2)) == 1), by, at, fields=["swapped"], prev="ahead")
+    own = lambda name, k: F.when(F.col("swapped"), F.col(f"{name}{1 - k}")).otherwise(F.col(f"{name}{k}"))
+    was = lambda k: F.when(F.col("ahead.swapped"), tail(1 - k)).otherwise(tail(k))
+    ramp = lambda j: (j - 1) / F.greatest(F.lit(1), F.col("met") - 1)
+
+    def piece(k: int) -> Column:
+        samples = F.transform(own("ch", k), lambda v: v.cast("double"))
+        pairs = F.transform(F.sequence(F.lit(1), F.col("met")), lambda j: F.element_at("__was", j) * (1 - ramp(j)) + F.element_at("__own", j) * ramp(j))
+        faded = F.when(F.col("met") > 0, pairs).otherwise(F.array().cast("array<double>"))
+        body = F.when(first, F.col("__own")).otherwise(F.concat(faded, F.slice("__own", F.col("met") + 1, F.col("n"))))
+        nonlocal rows
+        rows = rows.withColumns({"__own": samples, "__was": was(k)})
+        rows = rows.withColumn(f"out{k}", F.slice(body, F.lit(1), F.col("n") - F.coalesce(F.least(F.lit(overlap), F.col("after.n"), F.col("n")), F.lit(0)) * F.col("after").isNotNull().cast("int")))
+        return F.col(f"out{k}").alias(f"ch{k}")
+
+    pieces = [piece(0), piece(1)]
+    return rows.select("clip_id", "i", "swapped", *pieces)
+
+
 def fit_length(x: Column, n: int) -> Column:
     """Cut or padded with zeros to n samples."""
     x = F.transform(x, lambda v: v.cast("double"))

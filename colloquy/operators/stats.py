@@ -17,9 +17,25 @@ def talk_time(segments: DataFrame) -> DataFrame:
     return per.join(total, "clip_id").select("clip_id", "speaker", "talk_ms", ratio(F.col("talk_ms"), F.col("total"), 3).alias("share"))
 
 
-def conversation_stats(segments: DataFrame, th: Thresholds = Thresholds(), block_ms: int = BLOCK_MS) -> DataFrame:
+def speaker_maps(segments: DataFrame) -> DataFrame:
+    """(clip_id, talk_time, speaker_shares): seconds of talk to two places, and shares of all talk, by speaker."""
+    entry = lambda value: F.map_from_entries(F.array_sort(F.collect_list(F.struct("speaker", value))))  # noqa: E731, one entry a speaker
+    per = talk_time(segments)
+    return per.groupBy("clip_id").agg(entry(ratio(F.col("talk_ms"), F.lit(1000), 2).alias("v")).alias("talk_time"), entry(F.col("share")).alias("speaker_shares"))
+
+
+def in_seconds(stats: DataFrame) -> DataFrame:
+    """The statistics with lengths in seconds, as records hold them: duration, overlap_sec, median_turn_dur."""
+    names = {"duration": ratio(F.col("duration_ms"), F.lit(1000), 3), "overlap_sec": ratio(F.col("overlap_ms"), F.lit(1000), 2), "median_turn_dur": F.round(F.col("median_turn_ms") / 1000, 3)}
+    return stats.withColumns(names).drop("duration_ms", "overlap_ms", "median_turn_ms", "talk_ms")
+
+
+def conversation_stats(segments: DataFrame, th: Thresholds = Thresholds(), block_ms: int = BLOCK_MS, durations: DataFrame | None = None) -> DataFrame:
     """One row per clip. Lengths are whole ms; overlap is the sum of pairwise overlaps of different speakers.
 
+    durations (clip_id, duration_ms) gives the clips' own lengths, which count the silence after the last segment; a clip without
+    one is as long as its segments reach. Turns per minute and the speech ratio are 0 where a length is 0.
+
     Neighbours across a long time line come from block summaries; the sum of pairwise overlaps from the numbers of running
     segments (of all speakers, minus those of the same one), so neither a hot clip nor a dense one grows a task.
     """
@@ -38,11 +54,14 @@ def conversation_stats(segments: DataFrame, th: Thresholds = Thresholds(), block
     pairs = F.when(F.col("who") == EVERYONE, 1).otherwise(-1) * F.call_function("div", F.col("ms") * k * (k - 1), F.lit(2).cast("long"))
     overlaps = steps(spoken, ["clip_id", "who"], block_ms=block_ms).groupBy("clip_id").agg(F.sum(pairs).alias("overlap_ms"))
     joined = base.join(speakers, "clip_id").join(overlaps, "clip_id")
+    if durations is not None:
+        known = durations.groupBy("clip_id").agg(F.max("duration_ms").alias("known_ms"))
+        joined = joined.join(known, "clip_id", "left").withColumn("duration_ms", F.coalesce("known_ms", "duration_ms"))
     c = F.col
     return joined.select(
         "clip_id", "n_speakers", "n_segments", "n_turns", "backchannels", "duration_ms", "talk_ms", "overlap_ms", "median_turn_ms",
         ratio(c("most_ms"), c("talk_ms"), 3).alias("dominance"), F.coalesce(ratio(c("n_turns") * 60_000, c("duration_ms"), 2), F.lit(0.0)).alias("turns_per_min"), ratio(c("overlap_ms"), c("talk_ms"), 4).alias("overlap_ratio"),
-        F.coalesce(ratio(c("gap_ms"), c("n_gaps") * 1000, 3), F.lit(0.0)).alias("mean_gap"), ratio(c("talk_ms"), c("duration_ms"), 3).alias("speech_ratio"),
+        F.coalesce(ratio(c("gap_ms"), c("n_gaps") * 1000, 3), F.lit(0.0)).alias("mean_gap"), F.coalesce(ratio(c("talk_ms"), c("duration_ms"), 3), F.lit(0.0)).alias("speech_ratio"),
     )
 
 

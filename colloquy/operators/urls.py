@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-MOST_PHRASES = 1_000
+BLOCKS = 64
 
 
 def watch_url(url: Column, vid: Column, prefix: str) -> Column:
@@ -32,11 +31,10 @@ def new_urls(found: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def query_matrix(languages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(language, phrase): every phrase in every language, by exploding the one list of phrases per language."""
-    every = phrases.agg(F.sort_array(F.collect_set("phrase")).alias("p")).first().p
-    if len(every) > MOST_PHRASES:
-        raise ValueError(f"more than {MOST_PHRASES} phrases")
-    return languages.select("language", F.explode(F.array(*map(F.lit, every)) if every else F.array().cast("array<string>")).alias("phrase"))
+    """(language, phrase): every different phrase in every language. The product is the result asked for; it is made by an equi-join on
+    blocks of phrases, each met by every language, so that it is spread over tasks and nothing is gathered."""
+    blocks = languages.select("language", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
+    return phrases.select("phrase", F.pmod(F.xxhash64("phrase"), F.lit(BLOCKS)).cast("int").alias("block")).distinct().join(blocks, "block").select("language", "phrase")
 
 
 def candidate_sources(query: str | None, sources: list[str], limit: int, cc_only: bool = False) -> list[str]:

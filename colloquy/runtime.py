@@ -65,6 +65,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _at(spark, path)
+    return fs.exists(target)
+
+
 def list_names(spark: SparkSession, folder: str) -> list[str]:
     """The names below a folder; none where it does not exist."""
     fs, target = _at(spark, folder)

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..operators.state import latest, undecided
+from ..runtime import cut, delete_path, list_names
+
 POLL_SECONDS = 180
 
 
@@ -21,21 +24,35 @@ def watch(spark: SparkSession, path: str, schema: str, fmt: str = "json", files_
 
 
 def resume(spark: SparkSession, state_path: str, key: str, work: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: runs work on the keys without a decision in the state log, and appends its rows (key, status, ...) to it."""
+    """A foreachBatch function: runs work on the keys whose latest row in the state log is no decision, and appends its rows to it.
+
+    work gives (key, status, ...); each row is noted with the batch it came from, and the latest batch's row counts. A batch that
+    is run again (after a failure) replaces what it wrote before. `compact_log` keeps the log as short as the number of keys.
+    """
 
-    def step(batch: DataFrame, _: int) -> None:
+    def step(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        try:
-            decided = session.read.parquet(state_path).where(F.col("status").isin("accepted", "rejected")).select(key).distinct()
-            batch = batch.join(decided, key, "left_anti")
-        except Exception as e:  # the log does not exist before the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        work(batch.dropDuplicates([key])).write.mode("append").parquet(state_path)
+        fresh = batch.dropDuplicates([key])
+        if list_names(session, state_path):
+            earlier = session.read.parquet(state_path).where(F.col("batch") < number)
+            fresh = undecided(fresh, latest(earlier, key, ["batch"], ["status"]), key)
+        work(fresh).write.mode("overwrite").parquet(f"{state_path}/batch={number}")
 
     return step
 
 
+def compact_log(spark: SparkSession, state_path: str, key: str, upto: int) -> None:
+    """Put the latest rows of the batches up to a finished one into that batch's folder."""
+    old = [n for n in list_names(spark, state_path) if n.startswith("batch=") and int(n[6:]) <= upto]
+    if len(old) > 1:
+        rows = spark.read.option("basePath", state_path).parquet(*[f"{state_path}/{n}" for n in old])
+        kept = cut(latest(rows, key, ["batch"], [c for c in rows.columns if c != key]).drop("batch"))
+        kept.write.mode("overwrite").parquet(f"{state_path}/batch={upto}")
+        for n in old:
+            if n != f"batch={upto}":
+                delete_path(spark, f"{state_path}/{n}")
+
+
 def run_polling(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, seconds: int = POLL_SECONDS) -> StreamingQuery:
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
 

@@ -87,3 +87,48 @@ def test_replies(spark):
     got = spark.createDataFrame([(t,) for t in texts], "r string").select(replies.vote_of(F.col("r"), "num_speakers int")["num_speakers"].alias("n")).collect()
     assert [r.n for r in got] == [2, 3, None, None, None, None]
     assert spark.createDataFrame([("é",), (None,)], "t string").select(replies.nfc(F.col("t")).alias("t")).collect()[0].t == "é"
+
+
+def stitched(chunks, overlap):
+    """The fold over chunks: turn each to fit the one before, fade the overlap over."""
+    def sim(a, b):
+        a, b = a - a.mean(), b - b.mean()
+        n = np.linalg.norm(a) * np.linalg.norm(b)
+        return (a * b).sum() / n if n > 1e-8 else 0.0
+
+    out, how = None, []
+    for c in chunks:
+        c = np.asarray(c, float)
+        if out is None:
+            out, swap = c, False
+        else:
+            m = min(overlap, out.shape[1], c.shape[1])
+            p, h = out[:, -m:], c[:, :m]
+            swap = sim(p[0], h[1]) + sim(p[1], h[0]) > sim(p[0], h[0]) + sim(p[1], h[1])
+            c = c[::-1] if swap else c
+            fade = np.linspace(0.0, 1.0, m)
+            out = np.concatenate([out[:, :-m], p * (1 - fade) + c[:, :m] * fade, c[:, m:]], 1)
+        how.append(swap)
+    return out, how
+
+
+def test_stitching(spark):
+    r = np.random.default_rng(3)
+    rows, want = [], {}
+    for clip, sizes in {"a": [20] * 9, "one": [12], "short": [20, 20, 3], "tie": [20, 20, 20, 20]}.items():
+        whole, at, chunks = r.normal(size=(2, 400)), 0, []
+        for k, n in enumerate(sizes):
+            c = whole[:, at : at + n] + r.normal(scale=0.1, size=(2, n))
+            chunks.append(c[::-1] if r.random() < 0.5 else c)
+            if clip == "tie" and k == 2:
+                chunks[-1] = np.zeros((2, n))
+            at += n - 5
+        rows += [(clip, k, c[0].tolist(), c[1].tolist()) for k, c in enumerate(chunks)]
+        want[clip] = stitched(chunks, 5)
+    df = spark.createDataFrame(rows, "clip_id string, i int, ch0 array<double>, ch1 array<double>")
+    got = {}
+    for x in signal.stitch(df, 5, block=3).orderBy("clip_id", "i").collect():
+        got.setdefault(x.clip_id, []).append(x)
+    for clip, (wave, how) in want.items():
+        assert [x.swapped for x in got[clip]] == how
+        assert np.allclose(np.array([sum((x.ch0 for x in got[clip]), []), sum((x.ch1 for x in got[clip]), [])]), wave)
