@@ -21,12 +21,17 @@ SELECT o_orderkey AS vid, o_totalprice / 30 AS duration, CASE WHEN o_orderkey %
   CASE WHEN o_orderkey % 3 = 0 THEN 'telugu' ELSE 'hindi' END AS language, o_orderkey % 11 <> 0 AS is_conversational,
   o_orderkey % 13 = 0 AS music_dominant, o_orderkey % 17 = 0 AS is_dubbed, o_orderkey % 19 = 0 AS verify_missing
 FROM orders"""
+RUN_CANDIDATES = f"""
+SELECT clip_id AS vid, CAST(last_ms + 20000 AS DOUBLE) / 1000 AS duration, '' AS license, CASE WHEN a % 17 = 0 THEN 0.3 WHEN a % 19 = 0 THEN 0.99 ELSE 0.8 END AS speech_ratio, CASE WHEN a % 23 = 0 THEN 1 ELSE 2 END AS num_speakers,
+  CASE WHEN a % 13 = 0 THEN 'ta' ELSE 'hi' END AS language_code, 'hindi' AS language, a % 29 <> 0 AS is_conversational, a % 31 = 0 AS music_dominant, false AS is_dubbed, a % 37 = 0 AS verify_missing
+FROM (SELECT clip_id, max(end_ms) AS last_ms, ascii(substr(clip_id, 2, 1)) AS a FROM ({SEGMENTS}) s GROUP BY clip_id) c"""
 STATE_LOG = """
 SELECT event_id % 500 AS vid, event_id AS seq, CASE event_type WHEN 'purchase' THEN 'accepted' WHEN 'error' THEN 'rejected' ELSE 'pending' END AS status,
   CASE WHEN event_type = 'error' THEN 'few_turns' ELSE '' END AS reason
 FROM events"""
 URLS = "SELECT concat('https://v.example/', CAST((event_id * 7) % 900 AS VARCHAR(20))) AS url, event_id AS pos, CAST(user_id % 20 AS INT) AS list_id FROM events"
 PAIRS = "SELECT a.vec_id AS clip_id, a.embedding AS ch0, b.embedding AS ch1 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0"
+CHUNKS = "SELECT CAST(floor(a.vec_id / 2) AS INT) % 7 AS clip_id, CAST(floor(a.vec_id / 14) AS BIGINT) AS i, a.embedding AS ch0, b.embedding AS ch1 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0"
 
 _TIMES = """CASE WHEN {plain} THEN CAST(pos * 350 + (length(word) * 13) % 90 AS BIGINT) END AS start_ms,
   CASE WHEN {plain} THEN CAST(pos * 350 + (length(word) * 13) % 90 + 40 + (length(word) * 61) % 200 AS BIGINT) END AS end_ms"""

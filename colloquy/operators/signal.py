@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import cut
 from .ordered import blocked, scan
 
 
@@ -90,10 +91,13 @@ def stitch(chunks: DataFrame, overlap: int, block: int = 256) -> DataFrame:
     crossed, direct = (similarity(tail(0), head(j)) + similarity(tail(1), head(1 - j)) for j in (1, 0))
     rows = rows.withColumns({"met": met, "crossed": crossed, "direct": direct})
     rows = rows.withColumns({"differs": F.when(~first & (F.col("crossed") > F.col("direct")), 1).otherwise(0), "anew": first | (F.col("crossed") == F.col("direct"))})
-    rows = scan(rows, by, at, sums={"odd": F.col("differs")})
-    rows = scan(rows, by, at, maxima={"mark": F.when(F.col("anew"), F.struct("i", "odd"))})
+    flags = cut(rows.select(*by, "block", *at, "differs", "anew"))  # a few bytes a chunk; what follows does not carry samples
+    flags = cut(scan(flags, by, at, sums={"odd": F.col("differs")}))
+    flags = scan(flags, by, at, maxima={"mark": F.when(F.col("anew"), F.struct("i", "odd"))})
     since = F.when(F.col("anew"), F.col("odd")).otherwise(F.col("mark.odd"))
-    rows = scan(rows.withColumn("swapped", F.pmod(F.col("odd") - since, F.lit(2)) == 1), by, at, fields=["swapped"], prev="ahead")
+    flags = cut(flags.select(*by, "block", *at, (F.pmod(F.col("odd") - since, F.lit(2)) == 1).alias("swapped")))
+    flags = scan(flags, by, at, fields=["swapped"], prev="ahead").select(*by, "block", *at, "swapped", "ahead")
+    rows = rows.join(flags, [*by, "block", *at])
     own = lambda name, k: F.when(F.col("swapped"), F.col(f"{name}{1 - k}")).otherwise(F.col(f"{name}{k}"))
     was = lambda k: F.when(F.col("ahead.swapped"), tail(1 - k)).otherwise(tail(k))
     ramp = lambda j: (j - 1) / F.greatest(F.lit(1), F.col("met") - 1)

@@ -78,6 +78,11 @@ def flatten_segments(df: DataFrame, segments: str = "segments") -> DataFrame:
     return rows.select("clip_id", "channel", "idx", F.trim("w.word").alias("word"), ms("w.start").alias("start_ms"), ms("w.end").alias("end_ms"))
 
 
+def approx_counts(words: DataFrame) -> DataFrame:
+    """(clip_id, n_words, n_approx) of words with their approx flag."""
+    return words.groupBy("clip_id").agg(F.count("*").alias("n_words"), F.count_if("approx").alias("n_approx"))
+
+
 def tokens(text: Column) -> Column:
     """The text's tokens between white space (Unicode's too); empty for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda w: w != "")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .config import INDIC, Thresholds, WindowPlan
+from .config import INDIC, Thresholds
 from .functions import records, replies
 from .operators import coverage, gates, mining, ranges, segments, signal, state, stats, urls, votes, words
 from .operators.ordered import ratio
@@ -219,15 +219,13 @@ def funnel_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("status_tally", "SELECT coalesce(status, 'none') AS status, count(*) AS n FROM videos GROUP BY 1")
 def status_tally(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "videos").groupBy(F.coalesce("status", F.lit("none")).alias("status")).agg(F.count("*").alias("n"))
+    return state.tally(table(spark, d, "videos"), "status")
 
 
 @query("accepted_hours", """SELECT count(*) AS n, CAST(sum(round(coalesce(duration, 0) * 100)) AS BIGINT) AS centiseconds, CAST(sum(round(coalesce(duration, 0) * 100)) AS BIGINT) / 360000.0::DOUBLE AS hours,
 count(nullif(duration, 0)) AS n_known FROM videos WHERE status = 'accepted'""")
 def accepted_hours(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "videos").where("status = 'accepted'")
-    cs = F.sum(F.round(F.coalesce("duration", F.lit(0.0)) * 100).cast("long"))
-    return rows.agg(F.count("*").alias("n"), F.coalesce(cs, F.lit(0)).alias("centiseconds"), (F.coalesce(cs, F.lit(0)) / F.lit(360000.0)).alias("hours"), F.count(state.falsy_first("duration")).alias("n_known"))
+    return state.hours(table(spark, d, "videos").where("status = 'accepted'"))
 
 
 @query("latest_state", f"SELECT vid, arg_max(seq, seq) AS seq, arg_max(status, seq) AS status, arg_max(reason, seq) AS reason FROM ({fx.STATE_LOG}) l GROUP BY vid")
@@ -396,11 +394,6 @@ def split_totals(spark: SparkSession, d: str) -> DataFrame:
     return rows.rollup("split").agg(F.count("*").alias("n_windows"), F.sum("n_frames").alias("n_frames")).select(F.coalesce("split", F.lit("all")).alias("split"), "n_windows", "n_frames")
 
 
-@query("shard_crc32")
-def shard_crc32(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "videos").where("url is not null").select("row_id", ranges.crc_shard(F.col("url"), 8).alias("shard"))
-
-
 @query("url_dedupe", f"SELECT url, min(pos) AS pos FROM ({fx.URLS}) u GROUP BY url")
 def url_dedupe(spark: SparkSession, d: str) -> DataFrame:
     return urls.dedupe_ordered(fx.derive(spark, d, fx.URLS))
@@ -565,10 +558,4 @@ def speaker_verdict_counts(spark: SparkSession, d: str) -> DataFrame:
     return v.groupBy(F.when(F.col("num_speakers") < 2, "few").otherwise("enough").alias("outcome")).agg(F.count("*").alias("n"))
 
 
-@query("training_windows")
-def training_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Frame-aligned windows of every clip with their split; the parts are checked by plan_windows, snap_windows and grouped_split."""
-    from .plans.pipelines import plan_training_windows
-
-    segs = _segments(spark, d)
-    return plan_training_windows(segs, _totals(segs), WindowPlan())
+from . import table_queries  # noqa: E402, F401, registers the queries of sources, sinks, boundaries and whole pipelines

@@ -34,7 +34,12 @@ def read_json_lines(spark: SparkSession, path: str, schema: str, strict: bool =
 def read_entities(spark: SparkSession, root: str, schema: str, name: str = "meta.json") -> DataFrame:
     """One record per entity folder that has the file, with its folder, in the order of the folders' names."""
     rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(f"{root.rstrip('/')}/*/{name}")
-    return rows.withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)).orderBy("folder")
+    return rows.withColumn("folder", file_name(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))).orderBy("folder")
+
+
+def file_name(part: Column) -> Column:
+    """A part of a file's address as the file system writes it."""
+    return F.url_decode(F.regexp_replace(part, r"\+", "%2B"))
 
 
 def media_type(path: Column, default: str = "audio/wav") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import wave
 from collections.abc import Iterator
 
@@ -72,6 +73,28 @@ def wav_files(df: DataFrame, rate: int) -> DataFrame:
     return rows.mapInPandas(run, "name string, content binary")
 
 
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """(name, length) of files (name, content) written below a folder, given as an address any executor can reach.
+
+    A file appears under its name when it is whole, so a task that is run again does no harm. Nothing is written before the result is used.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        fs, base = FileSystem.from_uri(folder)
+        fs.create_dir(base, recursive=True)
+        for b in batches:
+            for name, content in zip(b.name_, b.content, strict=True):
+                draft = f"{base}/.{uuid.uuid4().hex}"
+                with fs.open_output_stream(draft) as out:
+                    out.write(content)
+                fs.move(draft, f"{base}/{name}")
+            yield pd.DataFrame({"name": b.name_, "length": b.content.map(len)})
+
+    return files.select(F.col("name").alias("name_"), "content").mapInPandas(run, "name string, length long")
+
+
 def export_rows(manifest: DataFrame, root: Column) -> DataFrame:
     """Nested manifest records to flat training rows."""
     at = F.concat(root, F.lit("/"), F.col("id"), F.lit("/"))

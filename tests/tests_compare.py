@@ -22,6 +22,7 @@ def compare(spark, folder, name, registry):
     cols = sorted(df.columns)
     got = sorted((tuple(map(plain, r)) for r in df.select(*cols).collect()), key=repr)
     if sql is None:
+        assert got and all(len(r) == len(cols) for r in got)
         return
     con = duckdb.connect()
     for p in Path(folder).glob("*.parquet"):
