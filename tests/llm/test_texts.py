@@ -70,6 +70,24 @@ def test_encoding_round_trip(spark):
     assert tokens.encode(df.limit(0)).count() == 0
 
 
+ODD = st.sampled_from([" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028", "\u200b", "\u3000", "\ufeff", "a", "b'", "'s", "é", "\u0301", "नम", "7", "!", "?!", "<|endoftext|>", "\x00", "👍🏽"])
+
+
+@given(st.one_of(st.text(max_size=40), st.lists(ODD, max_size=14).map("".join)))
+@settings(max_examples=1500, deadline=None)
+def test_pieces_give_the_ids_of_the_whole_text(text):
+    got = np.frombuffer(tokens.Pieces().encode([text])[0], np.int32).tolist()
+    assert got == tokens.load().encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_all_characters():
+    """Every character beside a word, a space and a line break."""
+    tok, pieces = tokens.load(), tokens.Pieces()
+    texts = ["".join(f"a{chr(c)} {chr(c)}b\n{chr(c)}{chr(c)} " for c in range(lo, lo + 64) if not 0xD800 <= c < 0xE000) for lo in range(0, 0x11000, 64)]
+    for got, e in zip(pieces.encode(texts), tok.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(got, np.int32).tolist() == e.ids
+
+
 @given(st.text(max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_any_text_comes_back(text):
