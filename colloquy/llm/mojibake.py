@@ -1,24 +1,26 @@
 """Problem 8: text decoded with a wrong encoding: learned from near-twins, applied to every document.
 
 1. Inventory. Every document counts its different characters outside stretches that read as a byte pattern (document frequencies).
-2. Twins. Lines are stripped of their non-ASCII characters; what is left, with the byte length of each stretch left out and the
-   order in which its bytes recur, is the key on which garbled lines meet clean ones (a garbled stretch has one character a byte,
-   a clean one is UTF-8). No table is needed for that: any line may be the garbled side. Lines too poor in such features are not
-   used. Both sides are made distinct first, so copies never multiply; a bit filter of the keys that occur on both sides keeps
-   lines without a partner out of the shuffle.
+2. Twins. Words (parted by ASCII white space) and whole lines are stripped of their non-ASCII characters; what is left, with the byte length of
+   each stretch left out and the order in which its bytes recur, is the key on which garbled words meet clean ones (a garbled
+   stretch has one character a byte, a clean one is UTF-8). No table is needed for that: any word may be the garbled side. Words
+   too poor in such features are not used. Both sides are made distinct first, so copies never multiply, and a key that several
+   clean words share says nothing, so a garbled word meets one clean word at most; a bit filter of the keys that occur on both
+   sides keeps words without a partner out of the shuffle.
 3. Alignment. The characters of a pair's stretches are laid against the UTF-8 bytes of its twin; where all agree with one wrong
-   encoding of the family below, that encoding gets the line's support, and its character sequences become learned mappings.
-   Where none agrees and none reads the line as UTF-8, the sequences are learned under the name `TWIN`, if two lines show them
+   encoding of the family below, that encoding gets the word's support, and its character sequences become learned mappings.
+   Where none agrees and none reads the word as UTF-8, the sequences are learned under the name `TWIN`, if two words (or two lines) show them
    and more than twice as many as show anything else for them (words of one pattern make chance twins).
    Pairs of neighbouring letters of the 8-bit alphabets are counted as well (at most the square of some 900 letters).
 4. Application. In every document, whole texts: each stretch of non-ASCII characters around a suspicious pattern or a mapping of
-   `TWIN` is turned back by the learned mappings, and where they do not cover it by each encoding's table, up to three layers
-   deep, and the most plausible result is taken. It must explain the whole stretch, and its
-   characters must be known from clean text. Short stretches need an encoding that is learned, in `ASSUME`, or proven by long
-   stretches, which speak for themselves. Double-byte encodings and swapped UTF-16 lose or swallow ASCII characters, so no
-   stripped twin exists for them; they are recognised by their bytes alone, by the same rules. Lines or words whose letter pairs
-   are unusual are read as one 8-bit encoding taken for another, and turned back if that makes their pairs usual ones.
-   Undecodable bytes (U+FFFD) match any byte and leave U+FFFD.
+   `TWIN` is turned back by the learned mappings, and where they do not cover it by the table of an encoding, layer by layer, and
+   the most plausible result is taken. It must explain the whole stretch, and its characters must be known from clean text. Short
+   stretches need an encoding learned from twins, or shown by long stretches of the same text, which speak for themselves.
+   Double-byte encodings and swapped UTF-16 lose or swallow ASCII characters, so no stripped twin exists for them; they are
+   recognised by their bytes alone, by the same rules. Lines or words whose letter pairs are unusual are read as one 8-bit
+   encoding taken for another, and turned back if that makes their pairs usual ones. Undecodable bytes (U+FFFD) match any byte
+   and leave U+FFFD. `evidence` tells for each document which of these ways were taken: mapping (learned sequences alone), table
+   (the table of an encoding), bytes, pairs, or lost.
 
 Defined results: null, empty and ASCII texts are not garbled; repeated rows are judged alike; a text with nothing but lost
 characters (U+FFFD) is reported, unrestored; empty tables give no rows. Only the inventory (at most one row a Unicode character
@@ -47,12 +49,14 @@ SINGLE = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251", "cp1250", "iso8859_
 DOUBLE = ["gb18030", "big5", "shift_jis", "cp949", "euc_jp"]
 LEGACY = ["cp1251", "koi8_r", "cp866", "iso8859_5", "mac_cyrillic", "cp1252", "cp437", "mac_roman", "cp1253", "cp1256"]
 ORIGINAL = ["cp1251", "koi8_r", "cp866", "cp1253", "cp1256"]
-ASSUME = ("cp1252",)
 TWIN = "twin"  # stands for encodings known from near-twins only
 LOST = "�"
-LAYERS, LONG = 3, 4
+LONG, NOISE, RARE = 4, 1e-6, 1e-3
+WORD_LETTERS, WORD_BYTES, HELD_WORDS = 3, 12, 200_000
 FILTER_BITS = 24
 _RUN = re.compile(r"[^\x00-\x7f]+")
+_UNIT = re.compile(r"[^ \t\r\n\f\v]+")
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _WIDE = re.compile(r"[⺀-퟿-豈-￼　-㏿]")
 
 
@@ -120,13 +124,16 @@ class Judge:
         for c, n in frequency.items():
             self.blocks[ord(c) >> 7] += n
         self.most = math.log1p(max(frequency.values(), default=0))
+        self.least = max(1.0, NOISE * max(frequency.values(), default=0))  # what a large corpus holds by accident is not known
         self.memo: dict[tuple, tuple | None] = {}
+        self.way: dict[str, str] = {}  # of the stretches in the memo
+        self.evidence: set[str] = set()  # of the text restored last
 
     def weight(self, c: str) -> float:
         return math.log1p(self.frequency.get(c, 0))
 
     def known(self, c: str) -> bool:
-        return c < "\x80" or self.frequency.get(c, 0) > 1 or (c.isalpha() and self.blocks[ord(c) >> 7] > 50) or (unicodedata.category(c)[0] == "M" and self.blocks[ord(c) >> 7] > 50)
+        return c < "\x80" or self.frequency.get(c, 0) > self.least or (self.blocks[ord(c) >> 7] > 50 * self.least and (c.isalpha() or unicodedata.category(c)[0] == "M"))
 
     def _mapped(self, run: str, name: str) -> str | None:
         """The stretch by the mappings learned of an encoding; None where they do not cover it."""
@@ -220,7 +227,7 @@ class Judge:
         seen = [c for c in text if c > "\x7f" and c != LOST]
         if not seen or not all(map(self.known, seen)):
             return None
-        if not evident and len(seen) < LONG:
+        if not evident and len(seen) < LONG and len(run) < 4 * len(seen):  # four bytes a character are a pattern that nothing else has
             return None
         if len(seen) == 1 and seen[0].isalpha() and any(c.isascii() and c.isalpha() for c in (before, after)) and "LATIN" not in unicodedata.name(seen[0], ""):
             return None
@@ -230,23 +237,23 @@ class Judge:
     def turn_back(self, run: str, before: str = "", after: str = "", shown: frozenset[str] = frozenset()) -> tuple[str, str] | None:
         """(original, encodings) of a garbled stretch, or None; shown: encodings proven elsewhere in the text."""
         best: tuple[float, str, str] | None = None
-        frontier = [(run, "")]
-        for _ in range(LAYERS):
+        way = "bytes"
+        frontier, met = [(run, "", "mapping")], {run}
+        while frontier:  # each layer turned back leaves fewer characters
             onward = []
-            for text, path in frontier:
+            for text, path, how in frontier:
                 for name in [*SINGLE, TWIN]:
-                    got = self._mapped(text, name)
+                    got, by = self._mapped(text, name), how
                     if got is None and name != TWIN:
-                        got = self._single(text, name)
+                        got, by = self._single(text, name), "table"
                     if got is not None and got != text:
-                        evident = name in self.learned or name in ASSUME or name in shown
-                        onward.append((got, f"{path}{name} "))
+                        evident = name in self.learned or name in shown
+                        onward.append((got, f"{path}{name} ", by))
                         score = self._plausible(run, got, evident, before, after)
                         if score is not None and (score > 0 or TWIN not in f"{path}{name}".split()) and (best is None or score > best[0]):
-                            best = (score, got, f"{path}{name}")
-            frontier = [(t, p) for t, p in onward if _RUN.fullmatch(t)]
-            if not frontier:
-                break
+                            best, way = (score, got, f"{path}{name}"), by
+            frontier = [(t, *more) for t, *more in onward if _RUN.fullmatch(t) and t not in met]
+            met.update(t for t, *_ in frontier)
         if best is None:
             for name in DOUBLE:
                 if (got := self._double(run, name, name in shown)) is not None:
@@ -259,16 +266,19 @@ class Judge:
                     best = (gain / len(run), got, "utf_16")
         if best is None:
             for name in SINGLE:  # characters that all lost a byte: affected, not to be had back
-                if (name in self.learned or name in ASSUME or name in shown) and _BROKEN[name].fullmatch(run):
+                if (name in self.learned or name in shown) and _BROKEN[name].fullmatch(run):
+                    self.way[run] = "lost"
                     return LOST, name
+        self.way[run] = way
         return best and best[1:]
 
     def restore(self, text: str) -> tuple[bool, str, list[str]]:
         """(garbled, text turned back, encodings) of a whole text."""
         how: set[str] = set()
+        self.evidence = set()
         if _ODD.search(text) or (self.taught and self.taught.search(text)):
             first, how = self._pass(text, frozenset())
-            shown = frozenset(n for h in how for n in h.split()) - self.learned - {*ASSUME}
+            shown = frozenset(n for h in how for n in h.split()) - self.learned
             if shown & {*SINGLE, *DOUBLE}:  # what long stretches prove holds for the short ones of the same text
                 first, how = self._pass(text, shown)
             text = first
@@ -277,6 +287,9 @@ class Judge:
             if not line.isascii() and (got := self.legacy(line)):
                 lines[i] = got[0]
                 how.add(got[1])
+                self.evidence.add("pairs")
+        if LOST in text:
+            self.evidence.add("lost")
         return bool(how) or LOST in text, "\n".join(lines), sorted(how)
 
     def _pass(self, text: str, shown: frozenset[str]) -> tuple[str, set[str]]:
@@ -289,11 +302,13 @@ class Judge:
             if key not in self.memo:
                 if len(self.memo) > 100_000:
                     self.memo.clear()
+                    self.way.clear()
                 self.memo[key] = self.turn_back(*key)
             if got := self.memo[key]:
                 out += [text[at : m.start()], got[0]]
                 at = m.end()
                 how.add(got[1])
+                self.evidence.add(self.way.get(run, "bytes"))
         return "".join(out) + text[at:], how
 
 
@@ -313,15 +328,15 @@ def _proven(run: str) -> str | None:
     return None
 
 
-def _features(line: str) -> tuple[int | None, int | None]:
-    """The keys of a line as a garbled and as a clean one: what is left without its non-ASCII stretches, their lengths in bytes, and
-    the bytes numbered as they first occur. Lines with equal keys are turned into each other by one character a byte. None for lines
+def _features(word: str) -> tuple[int | None, int | None]:
+    """The keys of a word as a garbled and as a clean one: what is left without its non-ASCII stretches, their lengths in bytes, and
+    the bytes numbered as they first occur. Words with equal keys are turned into each other by one character a byte. None for words
     too poor in features, or that can't be garbled.
     """
     import xxhash
 
-    runs, rest = _RUN.findall(line), _RUN.sub("\x01", line)
-    if len(runs) < 4 and sum(c.isalpha() for c in rest) < 8:
+    runs, rest = _RUN.findall(word), _RUN.sub("\x01", word)
+    if sum(c.isalpha() for c in rest) < WORD_LETTERS and len("".join(runs).encode("utf-8", "surrogatepass")) < WORD_BYTES:
         return None, None
 
     def key(sizes: list[int], order: bytes) -> int:
@@ -337,13 +352,26 @@ def _features(line: str) -> tuple[int | None, int | None]:
     return key([len(r) for r in runs], text.translate({ord(c): i for i, c in enumerate(seen)}).encode("latin-1")), clean
 
 
-def _lines(text: str) -> Iterator[tuple[str, int | None, int]]:
-    """(line, key as a garbled line, key as a clean line) of the lines of a text that can meet a twin."""
-    for line in text.split("\n"):
-        if not line.isascii():
-            dirty, clean = _features(line)
-            if clean is not None:
-                yield line, dirty, clean
+class Units:
+    """The words and whole lines of texts that can meet a twin, with their keys as a garbled and as a clean one. Words are parted by ASCII
+    white space (a garbled byte may be another space), without ASCII punctuation at their ends, and looked at once a task."""
+
+    def __init__(self):
+        self.keys: dict[str, tuple[int | None, int | None]] = {}
+
+    def of(self, text: str) -> Iterator[tuple[str, int | None, int]]:
+        for w in {w.strip(_PUNCTUATION) for w in _UNIT.findall(text) if not w.isascii()}:
+            if (keys := self.keys.get(w)) is None:
+                if len(self.keys) > HELD_WORDS:
+                    self.keys.clear()
+                keys = self.keys[w] = _features(w)
+            if keys[1] is not None:
+                yield w, *keys
+        for line in text.split("\n"):
+            if not line.isascii() and " " in line:
+                keys = _features(line)
+                if keys[1] is not None:
+                    yield line, *keys
 
 
 def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -355,6 +383,7 @@ def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_B
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
         bits, clean = np.zeros(1 << (filter_bits - 6), np.uint64), np.zeros(1 << (filter_bits - 6), np.uint64)
+        units, last = Units(), set()
         for batch in batches:
             for t in batch.column(0):
                 t = t.as_py()
@@ -365,10 +394,14 @@ def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_B
                     n.update({r[i : i + 2] for r in runs for i in range(len(r) - 1) if r[i] in _LETTERS and r[i + 1] in _LETTERS})
                     if bad := {r for r in every - runs if suspicious(r)}:
                         n.update({f"!{name}" for r in bad if len(r) > 11 and (name := _proven(r))})
-                    for _, *keys in _lines(t):
-                        for key, held in zip(keys, (bits, clean), strict=True):
-                            if key is not None:
-                                held[(key >> 6) % len(held)] |= np.uint64(1 << (key & 63))
+                    for w, *keys in units.of(t):
+                        if w not in last:
+                            last.add(w)
+                            for key, held in zip(keys, (bits, clean), strict=True):
+                                if key is not None:
+                                    held[(key >> 6) % len(held)] |= np.uint64(1 << (key & 63))
+                    if len(last) > HELD_WORDS:
+                        last.clear()
         words = np.flatnonzero(bits | clean)
         seen, counts = [*n, *[f"#{i}" for i in words]], [*n.values(), *[0] * len(words)]
         masks = [pa.array([*[0] * len(n), *held[words].astype(np.int64).tolist()], pa.int64()) for held in (bits, clean)]
@@ -400,21 +433,41 @@ def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not all(to.setdefault(b, x) == x and back.setdefault(x, b) == b for g, c in pairs for x, b in zip(g, c.encode(), strict=True)):
                 continue
             names = [n for n, table in TABLES.items() if all(table.get(x) == b for x, b in back.items())]
-            if not names and any(_utf8([g for g, _ in pairs], table) for table in TABLES.values()):
+            if not names and (LOST in garbled or any(_utf8([g for g, _ in pairs], table) for table in TABLES.values())):
                 continue
             for g, c in pairs:
                 at = 0
                 for x in c:
                     k = len(x.encode())
-                    out += [(name, garbled, g[at : at + k], x) for name in names or [TWIN]]
+                    out.append((",".join(names) or TWIN, garbled, g[at : at + k], x))
                     at += k
-        yield pd.DataFrame(out, columns=["name", "line", "seen", "original"])
+        yield pd.DataFrame(out, columns=["names", "word", "seen", "original"])
+
+
+def _explaining(units: dict[tuple[str, ...], int]) -> list[str]:
+    """The fewest encodings that explain the units, given how many agree with each combination; one that a handful of many needs is not kept.
+
+    Encodings share most of their characters, so a unit mostly agrees with several; only those that nothing else explains matter.
+    """
+    left = {k: n for k, n in units.items() if k != (TWIN,)}
+    least, kept = max(1.0, RARE * sum(left.values())), []
+    while left:
+        count = Counter()
+        for names, n in left.items():
+            count.update(dict.fromkeys(names, n))
+        best = min(count, key=lambda name: (-count[name], [*TABLES].index(name)))
+        if count[best] < least:
+            break
+        kept.append(best)
+        left = {names: n for names, n in left.items() if best not in names}
+    return kept
 
 
 def learn(documents: DataFrame, text: str = "text", found: list | None = None, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(name, seen, original, support): mappings inferred from near-twins, with the number of garbled lines behind each.
+    """(name, seen, original, support): mappings inferred from near-twins, with the number of garbled words, or of lines, behind each.
 
-    Only lines whose key the filter of `survey` (its rows: found) may hold are shuffled.
+    Only words whose key the filter of `survey` (its rows: found) may hold are shuffled. A key that several clean words share says
+    nothing about a garbled one, so each garbled word meets one clean word at most: the join is as long as the garbled side.
     """
     found = survey(documents, text, filter_bits).where("seen like '#%'").collect() if found is None else found
     bits = np.zeros(1 << (filter_bits - 6), np.int64)
@@ -424,41 +477,45 @@ def learn(documents: DataFrame, text: str = "text", found: list | None = None, f
     shared = documents.sparkSession.sparkContext.broadcast(bits)  # 2 ** filter_bits / 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value.view(np.uint64)
+        held, units = shared.value.view(np.uint64), Units()
         for batch in batches:
             rows = set()
             for t in batch.column(0):
                 t = t.as_py()
                 if t and not t.isascii():
-                    for line, *keys in _lines(t):
-                        rows |= {(k, line, dirty) for k, dirty in zip(keys, (True, False), strict=True) if k is not None and int(held[(k >> 6) % len(held)]) >> (k & 63) & 1}
-            keys, lines, dirt = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array([k - (1 << 64) if k >> 63 else k for k in keys], pa.int64()), pa.array(lines, pa.string()), pa.array(dirt, pa.bool_())], names=["key", "line", "dirty"])
-
-    lines = cut(documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "key long, line string, dirty boolean").distinct())
-    garbled, clean = lines.where("dirty").select("key", F.col("line").alias("garbled")), lines.where("not dirty").select("key", F.col("line").alias("clean"))
-    pairs = garbled.join(clean, "key").select("garbled", "clean")
-    aligned = pairs.mapInPandas(_align, "name string, line string, seen string, original string")
-    sums = aligned.groupBy("name", "seen", "original").agg(F.count_distinct("line").alias("support"))
+                    for word, *keys in units.of(t):
+                        rows |= {(k, word, dirty) for k, dirty in zip(keys, (True, False), strict=True) if k is not None and int(held[(k >> 6) % len(held)]) >> (k & 63) & 1}
+            keys, seen, dirt = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array([k - (1 << 64) if k >> 63 else k for k in keys], pa.int64()), pa.array(seen, pa.string()), pa.array(dirt, pa.bool_())], names=["key", "word", "dirty"])
+
+    met = cut(documents.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "key long, word string, dirty boolean").distinct())
+    clean = met.where("not dirty").groupBy("key").agg(F.min("word").alias("clean"), F.max("word").alias("other")).where("clean = other").drop("other")
+    pairs = met.where("dirty").select("key", F.col("word").alias("garbled")).join(clean, "key").select("garbled", "clean")
+    aligned = cut(pairs.mapInPandas(_align, "names string, word string, seen string, original string"))
+    fit = aligned.groupBy("names").agg(F.approx_count_distinct("word").alias("n")).collect()  # one row a combination of encodings
+    kept = F.array(*map(F.lit, [*_explaining({tuple(r.names.split(",")): r.n for r in fit}), TWIN]))
+    aligned = aligned.select(F.explode(F.array_intersect(F.split("names", ","), kept)).alias("name"), "word", "seen", "original")
+    sums = aligned.groupBy("name", "seen", "original").agg(F.greatest(*[F.count_distinct(F.when(F.contains("word", F.lit(" ")) == line, F.col("word"))) for line in (False, True)]).alias("support"))
     rivals = F.sum("support").over(Window.partitionBy("name", "seen")) - F.col("support")  # few rows: the originals of one sequence
     return sums.withColumn("rivals", rivals).where((F.col("name") != TWIN) | ((F.col("support") > 1) & (F.col("support") > 2 * F.col("rivals")))).drop("rivals")
 
 
 def restored(documents: DataFrame, key: str = "doc_id", text: str = "text", least_support: int = 1) -> DataFrame:
-    """(key, original, encodings) of the garbled documents: the text as far as it can be had back, and what it was read with."""
+    """(key, original, encodings, evidence) of the garbled documents: the text as far as it can be had back, what it was read with, and
+    by which ways that was found."""
     found = survey(documents, text).collect()
     mappings: dict[str, dict[str, str]] = {}
     for r in sorted(learn(documents, text, found).where(F.col("support") >= least_support).collect(), key=lambda r: (-r.support, r.original)):
         mappings.setdefault(r.name, {}).setdefault(r.seen, r.original)  # what most lines show
     counts = {r.seen: r.n for r in found if r.n}
-    learned = {*mappings} | {k[1:] for k in counts if len(k) > 2}
+    learned = {*mappings}
     known = {k: n for k, n in counts.items() if len(k) == 1}, learned, {k: n for k, n in counts.items() if len(k) == 2}, mappings
     shared = documents.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(*shared.value)
         for batch in batches:
-            keep, originals, names = [], [], []
+            keep, originals, names, ways = [], [], [], []
             for i, t in enumerate(batch.column(1)):
                 t = t.as_py()
                 if t and not t.isascii():
@@ -467,11 +524,12 @@ def restored(documents: DataFrame, key: str = "doc_id", text: str = "text", leas
                         keep.append(i)
                         originals.append(fixed)
                         names.append(how)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(originals, pa.string()), pa.array(names, pa.list_(pa.string()))], names=["k", "original", "encodings"])
+                        ways.append(sorted(judge.evidence))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(originals, pa.string()), pa.array(names, pa.list_(pa.string())), pa.array(ways, pa.list_(pa.string()))], names=["k", "original", "encodings", "evidence"])
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
     kind = rows.schema["k"].dataType.simpleString()
-    return rows.mapInArrow(run, f"k {kind}, original string, encodings array<string>").withColumnRenamed("k", key)
+    return rows.mapInArrow(run, f"k {kind}, original string, encodings array<string>, evidence array<string>").withColumnRenamed("k", key)
 
 
 _WORDS = re.compile(r"[\w\ufffd\u200c\u0300-\u036f\u0900-\u0963\u0966-\u0d7f]+")
@@ -505,7 +563,7 @@ def repair_lost(documents: DataFrame, turned: DataFrame, key: str = "doc_id", te
     A word with one or two lost places meets the clean words that fit it; the one with `share` of their documents is taken.
     A bit filter of the lost words keeps all other words out of the shuffle. Words over `longest` characters stay as they are.
     """
-    rows = cut(turned.select(F.col(key).alias("k"), "original", "encodings"))
+    rows = cut(turned.select(F.col(key).alias("k"), "original", "encodings", "evidence"))
     damaged = rows.where(F.contains("original", F.lit(LOST))).select("k", "original")
 
     def lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -524,17 +582,24 @@ def repair_lost(documents: DataFrame, turned: DataFrame, key: str = "doc_id", te
 
     def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, held = Counter(), shared.value.view(np.uint64)
+
+        def flush() -> pa.RecordBatch:
+            out = [(p, w, c) for w, c in n.items() for p in set(_patterns(w)) if int(held[(a := _place(p, filter_bits)) >> 6]) >> (a & 63) & 1]
+            n.clear()
+            cols = zip(*out, strict=True) if out else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["pattern", "word", "n"])
+
         for batch in batches:
             for t in batch.column(0):
                 t = t.as_py()
                 if t and not t.isascii():
                     n.update(w for w in _words(t) if LOST not in w and len(w) <= longest)
-        out = [(p, w, c) for w, c in n.items() for p in set(_patterns(w)) if int(held[(a := _place(p, filter_bits)) >> 6]) >> (a & 63) & 1]
-        cols = zip(*out, strict=True) if out else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["pattern", "word", "n"])
+                if len(n) > HELD_WORDS:  # counts of a word in several parts are summed below
+                    yield flush()
+        yield flush()
 
     fits = documents.select(F.col(text).cast("string").alias("t")).mapInArrow(fitting, "pattern string, word string, n long").groupBy("pattern", "word").agg(F.sum("n").alias("n"))
     sure = fits.groupBy("pattern").agg(F.max(F.struct("n", "word")).alias("b"), F.sum("n").alias("all")).where(F.col("b.n") >= share * F.col("all")).select("pattern", F.col("b.word").alias("word"))
     fills = wanted.select("k", "pattern").distinct().join(sure, "pattern").groupBy("k").agg(F.sort_array(F.collect_list(F.struct((-F.length("pattern")).alias("short"), "pattern", "word"))).alias("fills"))
     filled = F.aggregate("fills", F.col("original"), lambda t, f: F.replace(t, f["pattern"], f["word"]))
-    return rows.join(fills, "k", "left").select(F.col("k").alias(key), F.when(F.col("fills").isNull(), F.col("original")).otherwise(filled).alias("original"), "encodings")
+    return rows.join(fills, "k", "left").select(F.col("k").alias(key), F.when(F.col("fills").isNull(), F.col("original")).otherwise(filled).alias("original"), "encodings", "evidence")
