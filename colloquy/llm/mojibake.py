@@ -55,6 +55,7 @@ LONG, NOISE, RARE = 4, 1e-6, 1e-3
 WORD_LETTERS, WORD_BYTES, HELD_WORDS = 3, 12, 200_000
 FILTER_BITS = 24
 _RUN = re.compile(r"[^\x00-\x7f]+")
+_PARTS, _LETTER, _COUNT = re.compile(r"([^\x00-\x7f]+)"), re.compile("[A-Za-z]"), bytes(range(256))
 _UNIT = re.compile(r"[^ \t\r\n\f\v]+")
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _WIDE = re.compile(r"[⺀-퟿-豈-￼　-㏿]")
@@ -333,23 +334,23 @@ def _features(word: str) -> tuple[int | None, int | None]:
     the bytes numbered as they first occur. Words with equal keys are turned into each other by one character a byte. None for words
     too poor in features, or that can't be garbled.
     """
-    import xxhash
+    from xxhash import xxh64_intdigest
 
-    runs, rest = _RUN.findall(word), _RUN.sub("\x01", word)
-    if sum(c.isalpha() for c in rest) < WORD_LETTERS and len("".join(runs).encode("utf-8", "surrogatepass")) < WORD_BYTES:
+    parts = _PARTS.split(word)
+    rest, runs = "\x01".join(parts[::2]), parts[1::2]
+    raw = [r.encode("utf-8", "surrogatepass") for r in runs]
+    whole = b"".join(raw)
+    if len(whole) < WORD_BYTES and len(_LETTER.findall(rest)) < WORD_LETTERS:
         return None, None
-
-    def key(sizes: list[int], order: bytes) -> int:
-        return xxhash.xxh64_intdigest(f"{rest}\x00{','.join(map(str, sizes))}\x00".encode("utf-8", "surrogatepass") + order)
-
+    first = bytes(dict.fromkeys(whole))
+    head = rest.encode()
+    clean = xxh64_intdigest(b"%s\x00%s\x00%s" % (head, repr([*map(len, raw)]).encode(), whole.translate(bytes.maketrans(first, _COUNT[: len(first)]))))
     text = "".join(runs)
-    raw = [r.encode("utf-8", "surrogatepass") for r in runs]
-    first = bytes(dict.fromkeys(b"".join(raw)))
-    clean = key([len(r) for r in raw], b"".join(raw).translate(bytes.maketrans(first, bytes(range(len(first))))))
     seen = dict.fromkeys(text)
     if len(seen) > 128 or min(map(len, runs)) < 2:  # no byte of the upper half gives two characters; no character is one byte
         return None, clean
-    return key([len(r) for r in runs], text.translate({ord(c): i for i, c in enumerate(seen)}).encode("latin-1")), clean
+    order = text.translate(dict(zip(map(ord, seen), range(128)))).encode("latin-1")
+    return xxh64_intdigest(b"%s\x00%s\x00%s" % (head, repr([*map(len, runs)]).encode(), order)), clean
 
 
 class Units:
@@ -382,7 +383,7 @@ def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_B
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
-        bits, clean = np.zeros(1 << (filter_bits - 6), np.uint64), np.zeros(1 << (filter_bits - 6), np.uint64)
+        bits, clean, mask = bytearray(1 << (filter_bits - 3)), bytearray(1 << (filter_bits - 3)), (1 << filter_bits) - 1
         units, last = Units(), set()
         for batch in batches:
             for t in batch.column(0):
@@ -399,9 +400,10 @@ def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_B
                             last.add(w)
                             for key, held in zip(keys, (bits, clean), strict=True):
                                 if key is not None:
-                                    held[(key >> 6) % len(held)] |= np.uint64(1 << (key & 63))
+                                    held[(key & mask) >> 3] |= 1 << (key & 7)
                     if len(last) > HELD_WORDS:
                         last.clear()
+        bits, clean = (np.frombuffer(held, np.uint64) for held in (bits, clean))
         words = np.flatnonzero(bits | clean)
         seen, counts = [*n, *[f"#{i}" for i in words]], [*n.values(), *[0] * len(words)]
         masks = [pa.array([*[0] * len(n), *held[words].astype(np.int64).tolist()], pa.int64()) for held in (bits, clean)]
@@ -477,14 +479,14 @@ def learn(documents: DataFrame, text: str = "text", found: list | None = None, f
     shared = documents.sparkSession.sparkContext.broadcast(bits)  # 2 ** filter_bits / 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, units = shared.value.view(np.uint64), Units()
+        held, units, mask = shared.value.tobytes(), Units(), (1 << filter_bits) - 1
         for batch in batches:
             rows = set()
             for t in batch.column(0):
                 t = t.as_py()
                 if t and not t.isascii():
                     for word, *keys in units.of(t):
-                        rows |= {(k, word, dirty) for k, dirty in zip(keys, (True, False), strict=True) if k is not None and int(held[(k >> 6) % len(held)]) >> (k & 63) & 1}
+                        rows |= {(k, word, dirty) for k, dirty in zip(keys, (True, False), strict=True) if k is not None and held[(k & mask) >> 3] >> (k & 7) & 1}
             keys, seen, dirt = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array([k - (1 << 64) if k >> 63 else k for k in keys], pa.int64()), pa.array(seen, pa.string()), pa.array(dirt, pa.bool_())], names=["key", "word", "dirty"])
 

@@ -29,7 +29,12 @@ from .tokens import BYTE_BPE, FOLDER, load
 
 RUN, SHARE = 4, 0.3
 PIECES = "piece_bpe_32k.model"
-SCRIPTS = {"devanagari": (0x900, 0x97F), "bengali": (0x980, 0x9FF), "gujarati": (0xA80, 0xAFF), "tamil": (0xB80, 0xBFF), "telugu": (0xC00, 0xC7F), "arabic": (0x600, 0x6FF), "cyrillic": (0x400, 0x4FF), "latin": (0x41, 0x24F)}
+# The letters of each script, as ranges of code points.
+SCRIPTS = {
+    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F), (0x1E00, 0x1EFF)], "greek": [(0x370, 0x3FF)], "cyrillic": [(0x400, 0x52F)], "armenian": [(0x530, 0x58F)], "hebrew": [(0x590, 0x5FF)], "arabic": [(0x600, 0x6FF), (0x750, 0x77F)],
+    "devanagari": [(0x900, 0x963), (0x966, 0x97F)], "bengali": [(0x980, 0x9FF)], "gurmukhi": [(0xA00, 0xA7F)], "gujarati": [(0xA80, 0xAFF)], "odia": [(0xB00, 0xB7F)], "tamil": [(0xB80, 0xBFF)], "telugu": [(0xC00, 0xC7F)], "kannada": [(0xC80, 0xCFF)], "malayalam": [(0xD00, 0xD7F)], "sinhala": [(0xD80, 0xDFF)],
+    "thai": [(0xE00, 0xE7F)], "georgian": [(0x10A0, 0x10FF)], "ethiopic": [(0x1200, 0x137F)], "kana": [(0x3040, 0x30FF)], "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF)], "hangul": [(0x1100, 0x11FF), (0xAC00, 0xD7AF)],
+}
 _pieces: dict[str, object] = {}
 
 
@@ -73,7 +78,7 @@ def entropy(ids: list[int]) -> float:
 
 def _script(text: str) -> str:
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    n = {k: int(((code >= a) & (code <= b)).sum()) for k, (a, b) in SCRIPTS.items()}
+    n = {k: sum(int(((code >= a) & (code <= b)).sum()) for a, b in ranges) for k, ranges in SCRIPTS.items()}
     best = max(n, key=n.get)
     return best if n[best] else "none"
 
