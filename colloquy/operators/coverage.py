@@ -32,6 +32,20 @@ def sweep(df: DataFrame, entity: str = "clip_id", start: str = "start_ms", end:
     return rows.select("entity", "block", "t", (F.col("active") - F.col("d")).alias("before"), "active")
 
 
+def silences(df: DataFrame, totals: DataFrame, entity: str = "clip_id", start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:
+    """(entity, a, b): the gaps, and the stretches before the first and after the last interval, up to the entity's total_ms.
+
+    All come from one pass over the edges of the periods; totals (entity, total_ms) travel with the summary of the blocks. Entities
+    without a total or without intervals have none.
+    """
+    edges = sweep(df, entity, start, end, block_ms).where("before = 0 or active = 0").select("entity", "block", "t", (F.col("before") == 0).alias("opens"))
+    rows = scan(edges, ["entity"], ["t"], prev="prev", nxt="nxt", extra=(totals.select(F.col(entity).alias("entity"), "total_ms"), ["entity"]))
+    stretch = lambda when, a, b: F.when(when, F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")))
+    t, last = F.col("t"), F.col("nxt").isNull()
+    found = F.array(stretch(F.col("prev").isNull(), F.lit(0), t), stretch(~F.col("opens") & ~last, t, F.col("nxt.t")), stretch(last, t, F.col("total_ms")))
+    return rows.select("entity", F.explode(F.filter(found, lambda s: s.isNotNull())).alias("s")).select("entity", "s.a", "s.b")
+
+
 def periods_and_gaps(df: DataFrame, entity: str = "clip_id", start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:
     """(entity, kind, start_ms, end_ms): kind 'period' for covered stretches at full length, 'gap' for the stretches between."""
     edges = sweep(df, entity, start, end, block_ms).where("before = 0 or active = 0").select("entity", "block", "t", (F.col("before") == 0).alias("opens"))

@@ -93,10 +93,6 @@ def cut_points(segments: DataFrame, totals: DataFrame, min_gap_ms: int = 400) ->
 
     totals has (clip_id, total_ms); clips without segments have no cut points. Touching segments leave no silence.
     """
-    from .coverage import periods_and_gaps
+    from .coverage import silences
 
-    rows = periods_and_gaps(segments)
-    gaps = rows.where("kind = 'gap'").select(F.col("entity").alias("clip_id"), F.col("start_ms").alias("a"), F.col("end_ms").alias("b"))
-    span = rows.where("kind = 'period'").groupBy(F.col("entity").alias("clip_id")).agg(F.min("start_ms").alias("first"), F.max("end_ms").alias("last"))
-    edges = span.join(totals, "clip_id").select("clip_id", F.explode(F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("first").alias("b")), F.struct(F.col("last").alias("a"), F.col("total_ms").alias("b")))).alias("e")).select("clip_id", "e.*")
-    return gaps.unionByName(edges).where(F.col("b") - F.col("a") >= min_gap_ms).select("clip_id", (F.col("a") + F.col("b")).alias("cut2"))
+    return silences(segments, totals).where(F.col("b") - F.col("a") >= min_gap_ms).select(F.col("entity").alias("clip_id"), (F.col("a") + F.col("b")).alias("cut2"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..operators.ordered import blocked, scan
 from ..operators.state import latest, undecided
 from ..runtime import cut, delete_path, list_names
 
@@ -100,21 +101,30 @@ class BackOff:
         return self.streak[kind], pause, self.until
 
 
-def replay_backoff(hits: DataFrame) -> DataFrame:
-    """(key, at, kind, streak, pause, until) of hits (key, at, seq, kind), streamed in order with a state of three values per key."""
+def replay_backoff(hits: DataFrame, block_seconds: int = 86_400) -> DataFrame:
+    """(key, at, kind, streak, pause, until) of hits (key, at, seq, kind), streamed in order with a state of three values.
+
+    A hit later than the longest pause and the clean time after the one before begins anew whatever came before, so the hits of a key
+    are parted there, by block-wise scans, and a busy key is spread over tasks. Only a part without such a gap stays in one piece.
+    """
+    apart = max(longest for _, longest in PAUSES.values()) + CLEAN_SECONDS
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = state = None
         for b in batches:
             out = []
-            for k, at, kind in zip(b.key, b["at"], b.kind, strict=True):
-                if k != key:
-                    key, state = k, BackOff()
+            for k, part, at, kind in zip(b.key, b.part, b["at"], b.kind, strict=True):
+                if (k, part) != key:
+                    key, state = (k, part), BackOff()
                 out.append((k, at, kind, *state.hit(at, kind)))
             yield pd.DataFrame(out, columns=["key", "at", "kind", "streak", "pause", "until"])
 
     rows = hits.select(F.col("key").cast("string").alias("key"), "at", "seq", "kind").where(F.col("kind").isin(*PAUSES))
-    return rows.repartition("key").sortWithinPartitions("key", "at", "seq").mapInPandas(fold, _BACKOFF)
+    order = ["at", "seq"]
+    rows = scan(blocked(rows, ["key"], "at", block_seconds), ["key"], order, prev="prev")
+    rows = rows.select("key", *order, "kind", "block", F.when(F.col("at") - F.col("prev.at") > apart, 1).otherwise(0).alias("opens"))
+    rows = scan(rows, ["key"], order, sums={"part": F.col("opens")}).select("key", "part", *order, "kind")
+    return rows.repartition("key", "part").sortWithinPartitions("key", "part", *order).mapInPandas(fold, _BACKOFF)
 
 
 def stream_backoff(hits: DataFrame) -> DataFrame:

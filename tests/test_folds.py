@@ -8,7 +8,7 @@ import pytest
 
 from colloquy.config import WindowPlan
 from colloquy.operators import mining
-from colloquy.streaming.incremental import replay_backoff
+from colloquy.streaming.incremental import BackOff, replay_backoff
 
 
 def runs_of(segs, least, longest, gap):
@@ -93,3 +93,17 @@ def test_backoff(spark):
     got = replay_backoff(spark.createDataFrame(hits, "key string, at double, seq int, kind string")).orderBy("at").collect()
     # 10 + 600 = 610; 700 > 670 begins anew; 700 + 900 = 1600; 5000 > 1660 begins anew; 5100 within
     assert [(r.streak, r.pause) for r in got] == [(1, 300), (2, 600), (1, 900), (1, 300), (2, 600)]
+
+
+def test_backoff_in_parts(spark):
+    r = random.Random(11)
+    hits, want = [], {}
+    for key in "ab":
+        t, own = 0.0, BackOff()
+        for i in range(400):
+            t += r.choice([5.0, 200.0, 900.0, 3000.0, 5461.0, 5459.0, 20_000.0])
+            kind = r.choice(["rate", "wall"])
+            hits.append((key, t, i, kind))
+            want[key, t] = own.hit(t, kind)
+    got = replay_backoff(spark.createDataFrame(hits, "key string, at double, seq int, kind string"), block_seconds=50_000).collect()
+    assert {(x.key, x["at"]): (x.streak, x.pause, x.until) for x in got} == want
