@@ -2,7 +2,7 @@
 
 These folds decide each step from the one before, which no window function can state. Segments are folded per group between
 long silences, streamed in order through `mapInPandas` with a state of a few values: nothing of a group is gathered, so its
-length costs time but no memory. Windows are planned per clip over sorted cut points by binary search.
+length costs time but no memory. Windows are planned over sorted cut points in blocks of a clip at once.
 """
 
 from __future__ import annotations
@@ -15,8 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Thresholds, WindowPlan
+from ..runtime import cut
+from .ordered import blocked, scan
 from .segments import silence_groups
 
+PLAN_BLOCK_MS = 86_400_000
 _MINED = "clip_id string, t0 long, t1 long, pair array<string>"
 
 
@@ -74,50 +77,88 @@ def mine_two_speaker(segments: DataFrame, min_ms: int = Thresholds.min_chunk_ms,
 
 
 class _Plan:
-    """The planner's place in one clip; all lengths in half ms. Cuts come in order and are held only while in reach."""
+    """The planner's place in one block of a clip; all lengths in half ms. Cuts come in order and are held only while in reach."""
 
-    def __init__(self, total: int, plan: WindowPlan):
-        self.total, self.pos, self.held, self.win = total, 0, [], 0
+    def __init__(self, total: int, pos: int, stop: int, plan: WindowPlan):
+        self.total, self.pos, self.stop, self.held = total, pos, stop, []
         self.target, self.least, self.longest = 2 * plan.target_ms, 2 * plan.min_ms, 2 * plan.max_ms
 
-    def _span(self, end: int) -> list[tuple[int, int, int]]:
-        out = [(self.win, self.pos, end)] if end - self.pos >= self.least else []
-        self.win += len(out)
-        self.pos = end
-        return out
-
-    def settle(self, seen: float) -> list[tuple[int, int, int]]:
-        """Spans that no cut after `seen` can change."""
+    def settle(self, seen: float) -> list[tuple[int, int]]:
+        """Spans that begin in the block and that no cut after `seen` can change."""
         out = []
-        while self.total - self.pos > self.longest and seen >= self.pos + self.longest:
+        while self.pos < self.stop and self.total - self.pos > self.longest and seen >= self.pos + self.longest:
             ideal = self.pos + self.target
             near = [c for c in self.held if self.pos + self.least < c < self.pos + self.longest]
-            out += self._span(min(near, key=lambda c: (abs(c - ideal), c)) if near else ideal)
-            self.held = [c for c in self.held if c > self.pos]
+            end = min(near, key=lambda c: (abs(c - ideal), c)) if near else ideal
+            out.append((self.pos, end))
+            self.pos = end
+            self.held = [c for c in self.held if c > end]
         return out
 
+    def finish(self) -> list[tuple[int, int]]:
+        """The rest, with the clip's last span where it begins in the block; pos is then where the next block begins, or the clip's end."""
+        out = self.settle(np.inf)
+        if self.pos < self.stop:
+            out.append((self.pos, self.total))
+            self.pos = self.total
+        return out
 
-def plan_windows(cuts: DataFrame, totals: DataFrame, plan: WindowPlan = WindowPlan()) -> DataFrame:
-    """(clip_id, win, a2, b2) in half ms, from cuts (clip_id, cut2) and totals (clip_id, total_ms).
 
-    From each bound the cut nearest to target among those between min and max is the next (ties to the left), or a hard cut at
-    target; spans under min are dropped. Cuts are streamed in order, so a long clip is never gathered.
-    """
+def _plan_blocks(entries: DataFrame, cuts: DataFrame, plan: WindowPlan, block2: int) -> DataFrame:
+    """(clip_id, block, a2, b2) of the spans that begin in each block of entries (clip_id, block, total2, pos), and where the next block is
+    entered as a row without b2."""
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = state = None
         for b in batches:
             out = []
-            for clip, total, end, cut2 in zip(b.clip_id, b.total_ms, b.end, b.cut2, strict=True):
-                if clip != key:
-                    key, state = clip, _Plan(2 * total, plan)
-                out += [(clip, *s) for s in state.settle(np.inf if end else cut2)]
-                if end:
-                    out += [(clip, *s) for s in state._span(state.total)]
-                else:
+            for clip, block, total, at, cut2 in zip(b.clip_id, b.block, b.total2, b["at"], b.cut2, strict=True):
+                if (clip, block) != key:
+                    if key:
+                        out += [(*key, *s) for s in state.finish()] + [(*key, state.pos, None)]
+                    key, state = (clip, block), _Plan(int(total), int(at), (block + 1) * block2, plan)
+                if cut2 > state.pos:
+                    out += [(clip, block, *s) for s in state.settle(cut2)]
                     state.held.append(cut2)
-            yield pd.DataFrame(out, columns=["clip_id", "win", "a2", "b2"])
+            yield _frame(out)
+        if key:
+            yield _frame([(*key, *s) for s in state.finish()] + [(*key, state.pos, None)])
+
+    def _frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["clip_id", "block", "a2", "b2"]).astype({"b2": "Int64"})
 
-    ends = totals.select("clip_id", "total_ms", F.lit(True).alias("end"), F.lit(0).cast("long").alias("cut2"))
-    rows = cuts.join(totals, "clip_id").select("clip_id", "total_ms", F.lit(False).alias("end"), "cut2").unionByName(ends)
-    return rows.repartition("clip_id").sortWithinPartitions("clip_id", "end", "cut2").mapInPandas(fold, "clip_id string, win int, a2 long, b2 long")
+    begin = entries.select("clip_id", "block", "total2", F.col("pos").alias("at"), F.lit(-1).cast("long").alias("cut2"))
+    rows = cuts.join(entries, ["clip_id", "block"]).select("clip_id", "block", "total2", F.col("pos").alias("at"), "cut2").unionByName(begin)
+    return rows.repartition("clip_id", "block").sortWithinPartitions("clip_id", "block", "cut2").mapInPandas(fold, "clip_id string, block long, a2 long, b2 long")
+
+
+def plan_windows(cuts: DataFrame, totals: DataFrame, plan: WindowPlan = WindowPlan(), block_ms: int = PLAN_BLOCK_MS) -> DataFrame:
+    """(clip_id, win, a2, b2) in half ms, from cuts (clip_id, cut2) and totals (clip_id, total_ms).
+
+    From each bound the cut nearest to target among those between min and max is the next (ties to the left), or a hard cut at
+    target; spans under min are dropped.
+
+    A span's end is the next one's begin, yet a long clip is planned in blocks at once: each block is planned from a guess where it
+    is entered, at its start; those that turn out to be entered elsewhere are planned again from there, until nothing changes. Plans from
+    different places soon meet at a cut and are one from there on, so a block seldom hands a change on and few rounds are needed;
+    the result is the same whatever their number. Inside a block cuts are streamed in order, with a state of a few values.
+    """
+    block2 = 2 * max(block_ms, 2 * plan.max_ms)
+    block = F.floor(F.col("cut2") / block2)
+    ahead = F.when(F.col("cut2") - block * block2 < 2 * plan.max_ms, F.array(block, block - 1)).otherwise(F.array(block))
+    seen = cut(cuts.where("cut2 >= 0").select("clip_id", "cut2", F.explode(ahead).alias("block")).where("block >= 0"))
+    every = totals.where("clip_id is not null and total_ms is not null").select("clip_id", (2 * F.col("total_ms")).cast("long").alias("total2"))
+    last = F.greatest(F.lit(0), F.floor((F.col("total2") - 1) / block2))
+    entries = cut(every.select("clip_id", "total2", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block")).withColumn("pos", F.col("block") * block2))
+    made = cut(_plan_blocks(entries, seen, plan, block2))
+    while True:
+        left = made.where("b2 is null").select("clip_id", (F.col("block") + 1).alias("block"), F.col("a2").alias("enters"))
+        moved = cut(entries.join(left, ["clip_id", "block"]).where("enters <> pos").select("clip_id", "block", "total2", F.col("enters").alias("pos")))
+        if not moved.limit(1).count():
+            break
+        keys = moved.select("clip_id", "block")
+        made = cut(made.join(keys, ["clip_id", "block"], "left_anti").unionByName(_plan_blocks(moved, seen, plan, block2)))
+        entries = cut(entries.join(keys, ["clip_id", "block"], "left_anti").unionByName(moved.select(*entries.columns)))
+    spans = made.where(F.col("b2") - F.col("a2") >= 2 * plan.min_ms).select("clip_id", "a2", "b2")
+    numbered = scan(blocked(spans, ["clip_id"], "a2", block2), ["clip_id"], ["a2"], sums={"n": F.lit(1)})
+    return numbered.select("clip_id", (F.col("n") - 1).cast("int").alias("win"), "a2", "b2")

@@ -85,6 +85,8 @@ def test_planning(spark):
         want |= {(f"c{c}", *x) for x in planned(2 * total, mine, 120_000, 30_000, 180_000)}
     got = mining.plan_windows(spark.createDataFrame(cuts, "clip_id string, cut2 long"), spark.createDataFrame(totals, "clip_id string, total_ms long"), plan).collect()
     assert {(x.clip_id, x.a2, x.b2) for x in got} == want
+    small = mining.plan_windows(spark.createDataFrame(cuts, "clip_id string, cut2 long"), spark.createDataFrame(totals, "clip_id string, total_ms long"), plan, block_ms=1).collect()
+    assert sorted(map(tuple, small)) == sorted(map(tuple, got))  # blocks of twice the longest window
     assert all(x.win == sum(y.clip_id == x.clip_id and y.a2 < x.a2 for y in got) for x in got)
 
 
