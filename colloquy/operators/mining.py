@@ -1,8 +1,8 @@
 """Greedy folds over time lines: two-speaker runs, chunks of long runs, and training windows.
 
-These folds decide each step from the one before, which no window function can state. Segments are folded per group between
-long silences, streamed in order through `mapInPandas` with a state of a few values: nothing of a group is gathered, so its
-length costs time but no memory. Windows are planned over sorted cut points in blocks of a clip at once.
+Runs come from window functions over blocks of a clip. Chunks and windows decide each step from the one before, which no window
+function can state: segments of long runs are streamed in order through `mapInPandas` with a state of a few values, nothing of a
+run is gathered. Windows are planned over sorted cut points in blocks of a clip at once.
 """
 
 from __future__ import annotations
@@ -16,64 +16,86 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds, WindowPlan
 from ..runtime import cut
-from .ordered import blocked, scan
-from .segments import silence_groups
+from .ordered import BLOCK_MS, blocked, scan
+from .segments import COLUMNS, ORDER
 
 PLAN_BLOCK_MS = 86_400_000
 _MINED = "clip_id string, t0 long, t1 long, pair array<string>"
 
 
-class _Run:
-    """The open two-speaker run of a group: its chunks so far, and the open chunk."""
+class _Chunks:
+    """The open chunk of a long run, and the chunks before it."""
 
     def __init__(self, start: int):
-        self.start, self.speakers, self.done = start, set(), []
-        self.chunk_first, self.chunk_start, self.chunk_speakers, self.last = start, start, set(), start
+        self.first = self.start = self.last = start
+        self.speakers: set[str] = set()
         self.fresh = False
 
-    def add(self, speaker: str, start: int, end: int, longest: int) -> None:
+    def add(self, speaker: str, start: int, end: int, longest: int) -> list[tuple[int, int, list[str]]]:
+        """The chunk that this segment closes, if it does."""
         if self.fresh:
-            self.chunk_first, self.chunk_speakers, self.fresh = start, set(), False
+            self.first, self.speakers, self.fresh = start, set(), False
         self.speakers.add(speaker)
-        self.chunk_speakers.add(speaker)
         self.last = end
-        if end - self.chunk_start >= longest:
-            self.done.append((self.chunk_first, end, sorted(self.chunk_speakers)))
-            self.chunk_start, self.fresh = end, True
-
-    def windows(self, least: int, longest: int) -> list[tuple[int, int, list[str]]]:
-        if len(self.speakers) != 2 or self.last - self.start < least:
+        if end - self.start < longest:
             return []
-        if self.last - self.start <= longest:
-            return [(self.start, self.last, sorted(self.speakers))]
-        rest = [(self.chunk_first, self.last, sorted(self.chunk_speakers))] if not self.fresh and self.last - self.chunk_start >= least else []
-        return [w for w in self.done + rest if w[1] - w[0] >= least]
+        done = [(self.first, end, sorted(self.speakers))]
+        self.start, self.fresh = end, True
+        return done
+
+    def rest(self, least: int) -> list[tuple[int, int, list[str]]]:
+        return [(self.first, self.last, sorted(self.speakers))] if not self.fresh and self.last - self.start >= least else []
+
 
+def two_speaker_runs(segments: DataFrame, gap_ms: int = Thresholds.silence_gap_ms, block_ms: int = BLOCK_MS) -> DataFrame:
+    """Each segment with its run: groups part at silences of gap_ms; inside a group a third speaker closes the run and begins the next alone.
 
-def mine_two_speaker(segments: DataFrame, min_ms: int = Thresholds.min_chunk_ms, max_ms: int = Thresholds.max_chunk_ms, gap_ms: int = Thresholds.silence_gap_ms) -> DataFrame:
+    No fold is needed for that. Let a turn be a stretch of one speaker. A turn is a third one if its speaker is neither of the two turns
+    before it (in its group). It closes the run exactly if the turn before it did not: a run that has just begun holds one speaker, so
+    a third turn right after its first turn only brings the second speaker. In an unbroken series of third turns therefore the
+    first, third, fifth ... close a run, which the turns' numbers tell.
+    """
+    by = ["clip_id"]
+    rows = scan(blocked(segments.select(*COLUMNS), by, "start_ms", block_ms), by, ORDER, fields=["end_ms", "speaker"], prev="prev")
+    opens = F.col("prev").isNull() | (F.col("start_ms") - F.col("prev.end_ms") >= gap_ms)
+    rows = rows.select(*COLUMNS, "block", opens.alias("opens"), (~opens & (F.col("prev.speaker") != F.col("speaker"))).alias("changed"), F.col("prev.speaker").alias("was"))
+    begins = F.col("opens") | F.col("changed")
+    rows = scan(rows, by, ORDER, sums={"turn": begins.cast("int")}, maxima={"before": F.when(begins, F.struct(*ORDER, "changed", "was"))})
+    third = F.coalesce(F.col("changed") & F.col("before.changed") & (F.col("before.was") != F.col("speaker")), F.lit(False))
+    rows = blocked(cut(rows.select(*COLUMNS, "opens", begins.alias("begins"), third.alias("third"), "turn")), by, "start_ms", block_ms)
+    rows = scan(rows, by, ORDER, maxima={"calm": F.when(F.col("begins") & ~F.col("third"), F.col("turn"))})
+    closes = F.col("opens") | (F.col("third") & (F.pmod(F.col("turn") - F.col("calm"), F.lit(2)) == 1))
+    return scan(rows.withColumn("closes", closes), by, ORDER, sums={"run": F.col("closes").cast("int")}).select(*COLUMNS, "run")
+
+
+def mine_two_speaker(segments: DataFrame, min_ms: int = Thresholds.min_chunk_ms, max_ms: int = Thresholds.max_chunk_ms, gap_ms: int = Thresholds.silence_gap_ms, block_ms: int = BLOCK_MS) -> DataFrame:
     """(clip_id, t0, t1, pair): stretches in which exactly two people talk.
 
-    Groups part at silences of gap_ms; inside a group a third speaker closes the run and begins the next alone; runs longer
-    than max_ms are closed into chunks whenever one has reached max_ms, and a rest under min_ms is dropped.
+    Runs of two speakers (`two_speaker_runs`) of min_ms or more; runs longer than max_ms are closed into chunks whenever one has reached
+    max_ms, and a rest under min_ms is dropped. Only segments of such long runs are folded, each run in order, with a state of a
+    few values.
     """
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key = run = None
+        key = chunks = None
         for batch in batches:
             out = []
-            for clip, grp, start, end, speaker in zip(batch.clip_id, batch.grp, batch.start_ms, batch.end_ms, batch.speaker, strict=True):
-                third = run is not None and len(run.speakers) == 2 and speaker not in run.speakers
-                if (clip, grp) != key or third:
-                    if run is not None:
-                        out += [(key[0], *w) for w in run.windows(min_ms, max_ms)]
-                    key, run = (clip, grp), _Run(start)
-                run.add(speaker, start, end, max_ms)
+            for clip, run, start, end, speaker in zip(batch.clip_id, batch.run, batch.start_ms, batch.end_ms, batch.speaker, strict=True):
+                if (clip, run) != key:
+                    out += [(key[0], *w) for w in chunks.rest(min_ms)] if key else []
+                    key, chunks = (clip, run), _Chunks(start)
+                out += [(clip, *w) for w in chunks.add(speaker, start, end, max_ms)]
             yield pd.DataFrame(out, columns=["clip_id", "t0", "t1", "pair"])
-        if run is not None:
-            yield pd.DataFrame([(key[0], *w) for w in run.windows(min_ms, max_ms)], columns=["clip_id", "t0", "t1", "pair"])
-
-    rows = silence_groups(segments, gap_ms).select("clip_id", "grp", "start_ms", "seg_idx", "end_ms", "speaker")
-    return rows.repartition("clip_id", "grp").sortWithinPartitions("clip_id", "grp", "start_ms", "seg_idx").mapInPandas(fold, _MINED)
+        if key:
+            yield pd.DataFrame([(key[0], *w) for w in chunks.rest(min_ms)], columns=["clip_id", "t0", "t1", "pair"])
+
+    rows = cut(two_speaker_runs(segments, gap_ms, block_ms))
+    runs = rows.groupBy("clip_id", "run").agg(F.min("start_ms").alias("t0"), F.max(F.struct(*ORDER, "end_ms"))["end_ms"].alias("t1"), F.array_sort(F.collect_set("speaker")).alias("pair"))  # two speakers at most
+    runs = cut(runs.where((F.size("pair") == 2) & (F.col("t1") - F.col("t0") >= min_ms)))
+    long = runs.where(F.col("t1") - F.col("t0") > max_ms).select("clip_id", "run")
+    inside = rows.join(long, ["clip_id", "run"], "left_semi").repartition("clip_id", "run").sortWithinPartitions("clip_id", "run", *ORDER)
+    chunks = inside.mapInPandas(fold, _MINED).where(F.col("t1") - F.col("t0") >= min_ms)
+    return runs.where(F.col("t1") - F.col("t0") <= max_ms).select("clip_id", "t0", "t1", "pair").unionByName(chunks)
 
 
 class _Plan:

@@ -54,13 +54,15 @@ def test_mining(spark, seed):
         for i in range(150):
             t += r.choice([0, 200, 300, 900, -400, 6000 if r.random() < 0.1 else 100])
             t = max(t, segs[-1][0] if segs else 0)
-            segs.append((t, t + r.randrange(300, 4000), r.choice("AABBB" if r.random() < 0.95 else "C")))
+            segs.append((t, t + r.randrange(300, 4000), r.choice("AABBB" if r.random() < 0.95 else "CD" if c % 2 else "C")))
             t = segs[-1][1]
         rows += [(f"c{c}", i, s[2], s[0], s[1]) for i, s in enumerate(segs)]
         want |= {(f"c{c}", *w) for w in runs_of(segs, 8_000, 30_000, 5_000)}
     df = spark.createDataFrame(rows, "clip_id string, seg_idx int, speaker string, start_ms long, end_ms long")
     got = {(x.clip_id, x.t0, x.t1, tuple(x.pair)) for x in mining.mine_two_speaker(df, 8_000, 30_000, 5_000).collect()}
     assert got == want and want
+    blocks = {(x.clip_id, x.t0, x.t1, tuple(x.pair)) for x in mining.mine_two_speaker(df, 8_000, 30_000, 5_000, block_ms=10_000).collect()}
+    assert blocks == want
 
 
 def planned(total, cuts, target, least, most):
