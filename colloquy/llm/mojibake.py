@@ -52,7 +52,7 @@ ORIGINAL = ["cp1251", "koi8_r", "cp866", "cp1253", "cp1256"]
 TWIN = "twin"  # stands for encodings known from near-twins only
 LOST = "�"
 LONG, NOISE, RARE = 4, 1e-6, 1e-3
-WORD_LETTERS, WORD_BYTES, HELD_WORDS = 3, 12, 200_000
+WORD_LETTERS, WORD_BYTES, HELD_WORDS, HELD_CHARS = 3, 12, 200_000, 100  # longer words are looked at each time
 FILTER_BITS = 24
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _PARTS, _LETTER, _COUNT = re.compile(r"([^\x00-\x7f]+)"), re.compile("[A-Za-z]"), bytes(range(256))
@@ -300,16 +300,22 @@ class Judge:
             if (not _ODD.search(run) or not _SUSPECT.search(run)) and not (self.taught and self.taught.match(run)):
                 continue
             key = (run, text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1], shown)
-            if key not in self.memo:
-                if len(self.memo) > 100_000:
-                    self.memo.clear()
-                    self.way.clear()
-                self.memo[key] = self.turn_back(*key)
-            if got := self.memo[key]:
+            if len(run) > HELD_CHARS:
+                got = self.turn_back(*key)
+            else:
+                if key not in self.memo:
+                    if len(self.memo) > 100_000:
+                        self.memo.clear()
+                        self.way.clear()
+                    self.memo[key] = self.turn_back(*key)
+                got = self.memo[key]
+            if got:
                 out += [text[at : m.start()], got[0]]
                 at = m.end()
                 how.add(got[1])
                 self.evidence.add(self.way.get(run, "bytes"))
+                if len(run) > HELD_CHARS:
+                    self.way.pop(run, None)
         return "".join(out) + text[at:], how
 
 
@@ -365,7 +371,9 @@ class Units:
             if (keys := self.keys.get(w)) is None:
                 if len(self.keys) > HELD_WORDS:
                     self.keys.clear()
-                keys = self.keys[w] = _features(w)
+                keys = _features(w)
+                if len(w) <= HELD_CHARS:
+                    self.keys[w] = keys
             if keys[1] is not None:
                 yield w, *keys
         for line in text.split("\n"):
@@ -397,7 +405,8 @@ def survey(documents: DataFrame, text: str = "text", filter_bits: int = FILTER_B
                         n.update({f"!{name}" for r in bad if len(r) > 11 and (name := _proven(r))})
                     for w, *keys in units.of(t):
                         if w not in last:
-                            last.add(w)
+                            if len(w) <= HELD_CHARS and " " not in w:
+                                last.add(w)
                             for key, held in zip(keys, (bits, clean), strict=True):
                                 if key is not None:
                                     held[(key & mask) >> 3] |= 1 << (key & 7)

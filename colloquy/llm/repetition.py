@@ -95,7 +95,7 @@ class _Band:
     """Word numbers, token counts and entropy of texts; the tokens of a word are looked up once per worker task."""
 
     def __init__(self, share: float, folder: str, held: int = 500_000):
-        self.tok, self.share, self.held, self.ids = load(BYTE_BPE, folder), share, held, {}
+        self.tok, self.share, self.held, self.ids, self.chars = load(BYTE_BPE, folder), share, held, {}, 0
 
     def measure(self, text: str) -> tuple[int, int, int, float, bool, float | None]:
         """(words, their characters, tokens, entropy, in band, repeated share) of a text."""
@@ -105,8 +105,9 @@ class _Band:
         if not words:
             return 0, 0, 0, 0.0, False, 0.0
         if missing := [w for w in number if w not in self.ids]:
-            if len(self.ids) > self.held:
-                self.ids, missing = {}, list(number)
+            if len(self.ids) > self.held or self.chars > 100 * self.held:
+                self.ids, self.chars, missing = {}, 0, list(number)
+            self.chars += sum(map(len, missing))
             self.ids.update(zip(missing, (e.ids for e in self.tok.encode_batch(missing, add_special_tokens=False)), strict=True))
         count: dict[int, int] = {}
         for w, n in zip(number, np.bincount(ids).tolist(), strict=True):
