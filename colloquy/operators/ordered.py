@@ -26,17 +26,19 @@ def blocked(df: DataFrame, by: list[str], t: str, block_ms: int = BLOCK_MS) -> D
     return present.withColumns({**keys, "block": block}).repartition(*by, "block")
 
 
-def scan(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column] | None = None, fields: list[str] | None = None, prev: str | None = None, nxt: str | None = None, maxima: dict[str, Column] | None = None, minima: dict[str, Column] | None = None, wholes: dict[str, Column] | None = None, extra: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
+def scan(df: DataFrame, by: list[str], order: list[str], sums: dict[str, Column] | None = None, fields: list[str] | None = None, prev: str | None = None, nxt: str | None = None, maxima: dict[str, Column] | None = None, minima: dict[str, Column] | None = None, wholes: dict[str, Column] | None = None, extra: tuple[DataFrame, list[str]] | None = None, peers: bool = False) -> DataFrame:
     """One pass in each key's order over blocked rows (order[0] is the time that fixes the block). Adds
 
     sums: inclusive running sums of integer values; maxima: maxima over the rows before; minima: minima over the rows after; prev,
     nxt: structs of the order and fields of the neighbouring rows, null at the ends; wholes: sums over the whole key; extra: columns
     of a table with one row per key (or part of it), joined by the listed columns. Values are expressions over the row alone.
+    peers: sums take in all rows of the same order, not only those that happen to come first.
     """
     sums, maxima, minima, wholes = sums or {}, maxima or {}, minima or {}, wholes or {}
     row = F.struct(*order, *[f for f in fields or [] if f not in order])
     inside = Window.partitionBy(*by, "block").orderBy(*order)
     upto, before, after = (inside.rowsBetween(a, b) for a, b in ((Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)))
+    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow) if peers else upto
     along = Window.partitionBy(*by).orderBy("block")
     earlier, later = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
     totals = [F.sum(v).alias(f"__s_{n}") for n, v in sums.items()] + [F.max(v).alias(f"__m_{n}") for n, v in maxima.items()] + [F.min(v).alias(f"__n_{n}") for n, v in minima.items()]

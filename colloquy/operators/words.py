@@ -62,6 +62,17 @@ def even_timestamps(df: DataFrame, words: str = "words", total: str = "total_ms"
     return rows.select("clip_id", "channel", "idx", "word", at(F.col("idx")).alias("start_ms"), at(F.col("idx") + 1).alias("end_ms"), F.lit(True).alias("approx"))
 
 
+def token_places(words: DataFrame, size: Column, by: list[str] = CHANNEL) -> DataFrame:
+    """(by, idx, first, last, n_tokens): a word of `size` tokens takes those from first up to, not including, last of its channel's n_tokens.
+
+    It follows the words with a smaller idx; words that share an idx all end behind the last of them, as a running sum over idx has it.
+    by: leave the channel out where it is constant; a literal among the keys costs a second exchange of all words.
+    """
+    rows = blocked(words.select(*by, "idx", size.alias("size")), by, "idx", BLOCK_WORDS)
+    rows = scan(rows, by, ["idx"], sums={"last": F.col("size")}, wholes={"n_tokens": F.col("size")}, peers=True)
+    return rows.select(*by, "idx", (F.col("last") - F.col("size")).alias("first"), "last", "n_tokens")
+
+
 def first_outcome(*outcomes: tuple[str, Column]) -> Column:
     """struct(source, value) of the first outcome that is not null: aligner, then transcriber, then even spacing."""
     chain = F.when(F.lit(False), F.struct(F.lit("").alias("source"), outcomes[0][1].alias("value")))

@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from colloquy import queries as core
 from colloquy.functions import replies
 from colloquy.operators import ranges, signal, words
+from tests_compare import compare
 
 WORD = "clip_id string, channel int, idx int, word string, start_ms long, end_ms long"
 
@@ -132,3 +134,20 @@ def test_stitching(spark):
     for clip, (wave, how) in want.items():
         assert [x.swapped for x in got[clip]] == how
         assert np.allclose(np.array([sum((x.ch0 for x in got[clip]), []), sum((x.ch1 for x in got[clip]), [])]), wave)
+
+
+def test_token_places(spark):
+    rows = [("c", 0, 0, "ab"), ("c", 0, 1, "c"), ("c", 0, 1, "def"), ("c", 0, 25_000, "g"), ("c", 1, 7, "hi")]
+    got = words.token_places(spark.createDataFrame(rows, "clip_id string, channel int, idx int, word string"), F.length("word"))
+    assert sorted(tuple(r) for r in got.collect()) == [("c", 0, 0, 0, 2, 7), ("c", 0, 1, 3, 6, 7), ("c", 0, 1, 5, 6, 7), ("c", 0, 25_000, 6, 7, 7), ("c", 1, 7, 0, 2, 2)]
+
+
+def test_token_spans_of_odd_clips(spark, tmp_path):
+    """Clips of many words, without an id, under one id, without words: as the SQL has them, and none is gathered into a row."""
+    texts = [(1, "ab c\n\n def"), (1, "g hi jkl m"), (2, " ".join("नमस्ते" if i % 7 else "x" for i in range(45_000))), (None, "no id"), (None, "nor this one"), (3, None), (4, ""), (5, " \n ")]
+    spark.createDataFrame(texts, "audio_id long, transcript string").coalesce(1).write.parquet(str(tmp_path / "tables" / "nemo_audio.parquet"))
+    (tmp_path / "tables" / "nemo_audio.parquet").rename(tmp_path / "written")
+    next((tmp_path / "written").glob("*.parquet")).rename(tmp_path / "tables" / "nemo_audio.parquet")
+    compare(spark, str(tmp_path / "tables"), "token_spans", core.REGISTRY)
+    plan = core.REGISTRY["token_spans"][0](spark, str(tmp_path / "tables"))._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "MapIn" not in plan
